@@ -84,7 +84,7 @@ def grouped_measures(
     of the non-NULL values (an all-NULL group gives an empty map).
     ``means``: ``{out: column}`` -> ``round(avg, digits)``.
     ``medians``: ``{out: column}`` -> exact median.
-    ``row_count_col``: name of an optional row-count column.
+    ``row_count_col``: name of an optional row-count column (bigint).
 
     Plan: each row is unpivoted into one entry per measure ``(measure, value)``
     (NULL values dropped), entries are counted per
@@ -128,7 +128,7 @@ def grouped_measures(
     n_out = n.cast(count_type)
     aggs: list[Column] = []
     if row_count_col:
-        aggs.append(F.sum(F.when(m == _ROWS, n)).cast(count_type).alias(row_count_col))
+        aggs.append(F.sum(F.when(m == _ROWS, n)).alias(row_count_col))
     for out, (_, key_type) in count_maps.items():
         key = s if key_type == "string" else i.cast("int")
         pairs = F.collect_list(F.when(m == out, F.struct(key.alias("key"), n_out.alias("value"))))
