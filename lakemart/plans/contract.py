@@ -32,7 +32,6 @@ from lakemart.sources.schemas import IMMIGRATION_SCHEMA, TEMPERATURE_OUT_SCHEMA
 from lakemart.sources.sinks import read_back, write_table
 
 KEYS = B.FACT_KEYS
-EPOCH = F.lit(X.SAS_EPOCH).cast("date")
 # analogue encodings (fixed for the contract; the oracle SQL repeats them)
 SEGMENT_RACE = {
     "AUTOMOBILE": "American Indian and Alaska Native",
@@ -61,15 +60,16 @@ def raw_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = (li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
          .join(cust, F.col("o_custkey") == F.col("c_custkey"))
          .join(part, F.col("l_partkey") == F.col("p_partkey")))
+    epoch = F.lit(X.SAS_EPOCH).cast("date")
     return j.select(
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("cicid"),
         F.month("l_shipdate").cast("double").alias("i94mon"),
         F.col("c_nationkey").cast("double").alias("i94cit"),
         F.when(F.col("p_type") == "ECONOMY", F.lit("XXX"))
          .otherwise(F.col("l_suppkey").cast("string")).alias("i94port"),
-        F.datediff(F.col("o_orderdate").cast("date"), EPOCH).cast("double").alias("arrdate"),
+        F.datediff(F.col("o_orderdate").cast("date"), epoch).cast("double").alias("arrdate"),
         F.when(F.col("l_returnflag") == "R", F.lit(None).cast("double"))
-         .otherwise(F.datediff(F.col("l_shipdate").cast("date"), EPOCH).cast("double")).alias("depdate"),
+         .otherwise(F.datediff(F.col("l_shipdate").cast("date"), epoch).cast("double")).alias("depdate"),
         F.when(F.col("l_linestatus") == "O", F.lit(1.0)).otherwise(F.lit(2.0)).alias("i94mode"),
         F.when(F.col("l_discount") == 0, F.lit(None).cast("double"))
          .otherwise(F.col("l_quantity")).alias("i94bir"),
