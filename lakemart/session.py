@@ -62,11 +62,16 @@ def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
     """A fresh, unique folder under the cluster's shared checkpoint folder.
 
     ``spark.checkpoint.dir`` is read from the session.  Only when it is unset
-    (local tests) is a folder under the local temp dir chosen and registered,
-    so that every executor on a real cluster always writes to shared storage.
+    on a ``local`` master (tests) is a folder under the local temp dir chosen
+    and registered; on a cluster an unset value is an error, so executors
+    always write to shared storage.
     """
     base = _configured_checkpoint_dir(spark)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: on a cluster scratch data must go to the "
+                "shared folder named there, never to an executor-local temp folder")
         base = tempfile.mkdtemp(prefix="lakemart-ckpt-")
         spark.sparkContext.setCheckpointDir(base)
         base = _configured_checkpoint_dir(spark) or base
