@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.functions import columns as X
-from lakemart.operators.aggregates import exact_median, grouped_measures, pivot_sum
+from lakemart.operators.aggregates import distinct_median, grouped_measures, pivot_sum
 
 FACT_KEYS = ["month", "airport_cd"]
 MAP_MEASURES = {
@@ -152,7 +152,8 @@ def build_temperature(raw: DataFrame, *, min_year: int = MIN_TEMPERATURE_YEAR,
     per city and coordinates, from ``min_year`` on.
 
     The dedup runs after the year is dropped, so the median is over the
-    *distinct* rounded temperatures of a (month, city, lat, long) group.
+    *distinct* rounded temperatures of a (month, city, lat, long) group; it is
+    fused with the median into one aggregation (one shuffle).
     """
     dated = (
         raw.filter(F.col("Country") == country)
@@ -166,6 +167,8 @@ def build_temperature(raw: DataFrame, *, min_year: int = MIN_TEMPERATURE_YEAR,
         F.col("City").alias("city"),
         X.signed_coordinate("Latitude").alias("latitude"),
         X.signed_coordinate("Longitude").alias("longitude"),
-    ).dropDuplicates()
+    )
+    # dedup + median fused: the group keys are part of the dedup key, so the
+    # median over distinct rows is the median of the group's distinct values
     return (rows.groupBy("month", "city", "latitude", "longitude")
-            .agg(exact_median("avg_temp", empty_median).alias("median_avg_temp")))
+            .agg(distinct_median("avg_temp", empty_median).alias("median_avg_temp")))
