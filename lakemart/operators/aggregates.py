@@ -119,8 +119,15 @@ def grouped_measures(
     null_i = F.lit(None).cast("bigint")
     null_d = F.lit(None).cast("double")
 
-    def entry(tag: str, s: Column, i: Column, d: Column) -> Column:
-        return F.struct(F.lit(tag).alias("m"), s.alias("s"), i.alias("i"), d.alias("d"))
+    # measures are tagged by a small integer (cheaper to shuffle and hash than a name)
+    names = [_ROWS, *count_maps, *means, *medians]
+    if len(set(names)) != len(names):
+        raise ValueError(f"output names must be distinct: {names}")
+    tag = {name: idx for idx, name in enumerate(names)}
+
+    def entry(name: str, s: Column, i: Column, d: Column) -> Column:
+        return F.struct(F.lit(tag[name]).cast("tinyint" if len(names) < 128 else "int").alias("m"),
+                        s.alias("s"), i.alias("i"), d.alias("d"))
 
     entries = [entry(_ROWS, null_s, null_i, null_d)]
     for out, (src, key_type) in count_maps.items():
@@ -136,7 +143,7 @@ def grouped_measures(
     long = (
         df.select(*keys, F.explode(F.array(*entries)).alias("e"))
         .select(*keys, "e.*")
-        .filter((F.col("m") == _ROWS) | F.col("s").isNotNull()
+        .filter((F.col("m") == tag[_ROWS]) | F.col("s").isNotNull()
                 | F.col("i").isNotNull() | F.col("d").isNotNull())
     )
     counted = long.groupBy(*keys, "m", "s", "i", "d").agg(F.count(F.lit(1)).alias("n"))
@@ -145,17 +152,17 @@ def grouped_measures(
     n_out = n.cast(count_type)
     aggs: list[Column] = []
     if row_count_col:
-        aggs.append(F.sum(F.when(m == _ROWS, n)).alias(row_count_col))
+        aggs.append(F.sum(F.when(m == tag[_ROWS], n)).alias(row_count_col))
     for out, (_, key_type) in count_maps.items():
         key = s if key_type == "string" else i.cast("int")
-        pairs = F.collect_list(F.when(m == out, F.struct(key.alias("key"), n_out.alias("value"))))
+        pairs = F.collect_list(F.when(m == tag[out], F.struct(key.alias("key"), n_out.alias("value"))))
         aggs.append(F.map_from_entries(F.array_sort(pairs)).alias(out))
     for out in means:
-        total = F.sum(F.when(m == out, d * n))
-        weight = F.sum(F.when(m == out, n))
+        total = F.sum(F.when(m == tag[out], d * n))
+        weight = F.sum(F.when(m == tag[out], n))
         aggs.append(F.round(total / weight, digits).alias(out))
     for out in medians:
-        med = F.percentile(F.when(m == out, d), F.lit(0.5), n)
+        med = F.percentile(F.when(m == tag[out], d), F.lit(0.5), n)
         aggs.append(_empty_median(med, empty_median).alias(out))
     return counted.groupBy(*keys).agg(*aggs)
 
