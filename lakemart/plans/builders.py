@@ -74,14 +74,16 @@ def clean_arrivals(raw: DataFrame) -> DataFrame:
 
 
 def build_immigration(clean: DataFrame, *, empty_median: str = "nan", stable_id: bool = False,
-                      with_visits: bool = False) -> DataFrame:
+                      with_visits: bool = False, count_type: str = "int") -> DataFrame:
     """M1: the fact table, one row per (month, airport_cd).
 
     Measures: five value->count maps, ``round(avg(length_of_stay), 2)`` and
     the exact median age, all from one lineage (see ``grouped_measures``).
     A NULL month forms its own group with its measures filled (the original's
     equality joins left them NULL).  ``with_visits`` adds the row count the
-    original computed but did not store.
+    original computed but did not store.  Map counts are ``int`` as in the
+    output contract; a count beyond 2^31 raises (ANSI) rather than wrapping,
+    and ``count_type='bigint'`` widens the maps for inputs that large.
     """
     measures = grouped_measures(
         clean, FACT_KEYS,
@@ -90,6 +92,7 @@ def build_immigration(clean: DataFrame, *, empty_median: str = "nan", stable_id:
         medians={"median_age": "age"},
         row_count_col="visits" if with_visits else None,
         empty_median=empty_median,
+        count_type=count_type,
     )
     cols = FACT_COLUMNS + (["visits"] if with_visits else [])
     id_col = X.surrogate_id(*FACT_KEYS) if stable_id else X.surrogate_id()
