@@ -141,8 +141,7 @@ def grouped_measures(
         entries.append(entry(out, null_s, null_i, to_double(src)))
 
     long = (
-        df.select(*keys, F.explode(F.array(*entries)).alias("e"))
-        .select(*keys, "e.*")
+        df.select(*keys, F.inline(F.array(*entries)))
         .filter((F.col("m") == tag[_ROWS]) | F.col("s").isNotNull()
                 | F.col("i").isNotNull() | F.col("d").isNotNull())
     )

@@ -46,8 +46,8 @@ def clean_arrivals(raw: DataFrame) -> DataFrame:
     Accepts numeric (binary files) or text (CSV) raw columns.
     """
     typed = (
-        raw.filter(X.to_double("i94mode") == F.lit(float(X.AIR_MODE)))
-        .filter(~F.col("i94port").isin(*X.INVALID_PORTS))
+        raw.filter((X.to_double("i94mode") == F.lit(float(X.AIR_MODE)))
+                   & ~F.col("i94port").isin(*X.INVALID_PORTS))
         .select(
             X.to_int("i94mon").alias("month"),
             X.to_int("i94cit").alias("country_id"),
@@ -96,7 +96,7 @@ def build_immigration(clean: DataFrame, *, empty_median: str = "nan", stable_id:
     )
     cols = FACT_COLUMNS + (["visits"] if with_visits else [])
     id_col = X.surrogate_id(*FACT_KEYS) if stable_id else X.surrogate_id()
-    return measures.select(*cols).withColumn("immigration_id", id_col)
+    return measures.select(*cols, id_col.alias("immigration_id"))
 
 
 def build_airports(raw: DataFrame, *, require_iata: bool = False, require_city: bool = False,

@@ -31,6 +31,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # no Python call-site capture per Column call (4 JVM round trips each);
+        # it only adds the user's line number to error messages
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
