@@ -51,6 +51,17 @@ def exact_median(c: ColumnOrName, empty: str = "nan") -> Column:
     return _empty_median(med, empty)
 
 
+def approx_median(c: ColumnOrName, accuracy: int = 10000) -> Column:
+    """A3, scale option: ``percentile_approx(c, 0.5, accuracy)``.
+
+    A fixed-size sketch per group instead of one counter per distinct value,
+    for high-cardinality measures.  Returns an actual input value (the lower
+    middle for an even count, no interpolation); exact while a group holds
+    fewer values than ``accuracy``.
+    """
+    return F.percentile_approx(_col(c), 0.5, accuracy)
+
+
 def distinct_median(c: ColumnOrName, empty: str = "nan") -> Column:
     """Exact median of the *distinct* non-NULL values of ``c`` in a group.
 

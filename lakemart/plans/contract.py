@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from lakemart.functions import columns as X
 from lakemart.operators import quality as Q
-from lakemart.operators.aggregates import (explode_map, exact_median, pivot_agg, pivot_sum,
-                                           rounded_mean, row_count)
+from lakemart.operators.aggregates import (approx_median, explode_map, exact_median, pivot_agg,
+                                           pivot_sum, rounded_mean, row_count)
 from lakemart.operators.joins import snowflake
 from lakemart.operators.setops import union_all
 from lakemart.plans import builders as B
@@ -205,6 +205,10 @@ def q_median_age(spark, d):
     return trips(spark, d).groupBy(*KEYS).agg(exact_median("age", "null").alias("median_age"))
 
 
+def q_approx_median_age(spark, d):
+    return trips(spark, d).groupBy(*KEYS).agg(approx_median("age").alias("approx_median_age"))
+
+
 def _count_map_query(map_col):
     def q(spark, d):
         return explode_map(fact(spark, d, with_visits=False), KEYS, map_col, "key", "n")
@@ -424,6 +428,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "group_count": q_group_count,
     "avg_stay": q_avg_stay,
     "median_age": q_median_age,
+    "approx_median_age": q_approx_median_age,
     "count_map_gender": _count_map_query("gender"),
     "count_map_trip": _count_map_query("trip_purpose"),
     "count_map_visa": _count_map_query("visa_type"),

@@ -186,6 +186,9 @@ SQL: dict[str, str] = {
         "SELECT g.month, g.airport_cd, m.median_age FROM " + FACT_KEYS_DISTINCT + " g "
         "LEFT JOIN (" + _median("trips", ["month", "airport_cd"], "age", "median_age") + ") m "
         "ON g.month IS NOT DISTINCT FROM m.month AND g.airport_cd = m.airport_cd"),
+    "approx_median_age": _with(TRIPS) + (
+        "SELECT month, airport_cd, quantile_disc(age, 0.5) AS approx_median_age "
+        "FROM trips GROUP BY month, airport_cd"),
     "count_map_gender": _count_map("gender"),
     "count_map_trip": _count_map("trip_purpose"),
     "count_map_visa": _count_map("visa_type"),
