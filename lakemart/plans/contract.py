@@ -399,14 +399,14 @@ def q_avg_age(spark, d):
 def q_parquet_roundtrip(spark, d):
     """K4 + S5: write the temperature table partitioned by (month, city), read it back."""
     path = scratch_dir(spark, "temperature")
-    write_table(temperature(spark, d), path, ["month", "city"])
+    write_table(temperature(spark, d), path, ["month", "city"], writers=spark.sparkContext.defaultParallelism)
     return read_back(spark, path, TEMPERATURE_OUT_SCHEMA, ["month", "city"])
 
 
 def q_parquet_roundtrip_fact(spark, d):
     """K1 + S5: write the fact partitioned by (month, airport_cd), read it back."""
     path = scratch_dir(spark, "immigration")
-    write_table(fact(spark, d, with_visits=False), path, KEYS)
+    write_table(fact(spark, d, with_visits=False), path, KEYS, writers=spark.sparkContext.defaultParallelism)
     back = read_back(spark, path, IMMIGRATION_SCHEMA, KEYS)
     return back.select(*KEYS, "avg_stay", "median_age",
                        F.size("gender").alias("n_genders"), F.size("countries").alias("n_countries"))

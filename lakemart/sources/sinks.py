@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakemart.sources.schemas import OUTPUT_TABLES
@@ -26,10 +27,25 @@ def write_table(
     fmt: str = "parquet",
     rebalance: bool = True,
     options: dict[str, str] | None = None,
+    writers: int | None = None,
 ) -> None:
-    """Write ``df`` to ``path``; default mode fails if the path exists."""
+    """Write ``df`` to ``path``; default mode fails if the path exists.
+
+    ``writers``: for *aggregated* tables with a bounded number of rows per
+    partition value (the four output tables), spread the partition folders
+    over this many tasks (``repartition(writers, xxhash64(*partition_by))``;
+    AQE keeps a user-given count).  Byte-based rebalancing would put a small table with
+    thousands of partition values into one task that then creates every
+    file in sequence.  Leave it ``None`` for row-level data, where the
+    rebalance hint splits hot partition values by size.
+    """
     parts = list(partition_by or [])
-    if rebalance:
+    if writers and parts:
+        # hash of the partition columns, not the columns themselves: an
+        # aggregate below is already partitioned by them, and the planner would
+        # drop the user count and let AQE coalesce everything into one task
+        df = df.repartition(writers, F.xxhash64(*parts))
+    elif rebalance:
         df = df.hint("rebalance", *parts) if parts else df.hint("rebalance")
     writer = df.write.mode(mode).format(fmt)
     if parts:
@@ -47,7 +63,15 @@ def read_back(spark: SparkSession, path: str, schema: T.StructType,
     names (a folder set whose only ``airport_cd`` is ``007`` would otherwise
     come back as an int).  Filters on partition columns prune folders.
     """
-    df = spark.read.format(fmt).schema(schema).load(path)
+    parts = list(partition_by or [])
+    reader = spark.read.format(fmt).schema(schema)
+    if parts:
+        # list the partition folders through one glob (one listing job for all
+        # leaf folders instead of one per folder of the first level)
+        glob = "/".join(["*"] * len(parts))
+        df = reader.option("basePath", path).load(f"{path.rstrip('/')}/{glob}")
+    else:
+        df = reader.load(path)
     return df.select(*[f.name for f in schema.fields])
 
 
