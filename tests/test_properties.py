@@ -103,3 +103,46 @@ def test_quality_checks(spark):
     assert Q.preview(df, 2).count() == 2
     dim = spark.createDataFrame([(1,), (1,), (3,)], "k int")
     assert Q.join_coverage(df, dim, "k", ["k", "s"]).first().matched == 2
+
+
+def test_union_all_modes(spark):
+    from lakemart.operators.setops import union_all
+
+    a = spark.createDataFrame([(1, "x")], "k int, s string")
+    b = spark.createDataFrame([("y", 2)], "s string, k int")
+    by_name = sorted(tuple(r) for r in union_all([a, b]).collect())
+    assert by_name == [(1, "x"), (2, "y")]
+    c = spark.createDataFrame([(3,)], "k int")
+    assert union_all([a, c], allow_missing_columns=True).filter("s IS NULL").count() == 1
+    same = spark.createDataFrame([(4, "z")], "k int, s string")
+    assert union_all([a, same], by_name=False).count() == 2
+
+
+def test_read_csv_with_schema_checks_header(spark, tmp_path):
+    import pytest
+    from pyspark.sql import types as T
+
+    from lakemart.sources.readers import read_csv
+
+    p = tmp_path / "t.csv"
+    p.write_text("a;b\n1;x\n")
+    schema = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.StringType())])
+    assert read_csv(spark, str(p), sep=";", schema=schema).collect()[0].b == "x"
+    wrong = T.StructType([T.StructField("a", T.StringType()), T.StructField("c", T.StringType())])
+    with pytest.raises(Exception):
+        read_csv(spark, str(p), sep=";", schema=wrong).collect()
+
+
+def test_sink_writers_spread_folders(spark):
+    from lakemart.session import scratch_dir
+    from lakemart.sources.schemas import TEMPERATURE_OUT_SCHEMA
+    from lakemart.sources.sinks import read_back, write_table
+
+    df = spark.range(0, 40).selectExpr(
+        "cast(id % 12 + 1 as int) as month", "concat('c', id) as city",
+        "1.0d as latitude", "2.0d as longitude", "cast(id as double) as median_avg_temp")
+    path = scratch_dir(spark, "writers")
+    write_table(df, path, ["month", "city"], writers=4)
+    back = read_back(spark, path, TEMPERATURE_OUT_SCHEMA, ["month", "city"])
+    assert sorted(back.collect()) == sorted(df.collect())
+    assert back.filter("month = 3").count() == df.filter("month = 3").count()
