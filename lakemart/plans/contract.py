@@ -23,7 +23,7 @@ from lakemart.functions import columns as X
 from lakemart.operators import quality as Q
 from lakemart.operators.aggregates import (approx_median, explode_map, exact_median, pivot_agg,
                                            pivot_sum, rounded_mean, row_count)
-from lakemart.operators.joins import snowflake
+from lakemart.operators.joins import join_measures, snowflake
 from lakemart.operators.setops import union_all
 from lakemart.plans import builders as B
 from lakemart.session import scratch_dir
@@ -228,6 +228,15 @@ def q_fact_wide(spark, d):
     )
 
 
+def q_join_measures(spark, d):
+    """J1 in its original form: per-measure aggregates left-joined onto the count table."""
+    t = trips(spark, d)
+    base = t.groupBy(*KEYS).agg(row_count().alias("visits"))
+    stay = t.groupBy(*KEYS).agg(rounded_mean("length_of_stay").alias("avg_stay"))
+    age = t.groupBy(*KEYS).agg(exact_median("age", "null").alias("median_age"))
+    return join_measures(base, [stay, age], KEYS)
+
+
 def q_surrogate_id(spark, d):
     return fact(spark, d, with_visits=False).agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_distinct("immigration_id").alias("n_ids"))
@@ -435,6 +444,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "count_map_countries": _count_map_query("countries"),
     "count_map_airlines": _count_map_query("airlines"),
     "fact_wide": q_fact_wide,
+    "join_measures": q_join_measures,
     "surrogate_id": q_surrogate_id,
     "sas_date": q_sas_date,
     "map_codes": q_map_codes,

@@ -195,6 +195,7 @@ SQL: dict[str, str] = {
     "count_map_countries": _count_map("country_id"),
     "count_map_airlines": _count_map("airline_cd"),
     "fact_wide": _with(FACT) + "SELECT * FROM fact",
+    "join_measures": _with(FACT) + "SELECT month, airport_cd, visits, avg_stay, median_age FROM fact",
     "surrogate_id": _with(TRIPS) + f"SELECT count(*) AS n_rows, count(*) AS n_ids FROM {FACT_KEYS_DISTINCT}",
     "sas_date": "SELECT o_orderkey, CAST(DATE '1960-01-01' + CAST(o_custkey AS INTEGER) AS DATE) AS sas_date FROM orders",
     "map_codes": (
