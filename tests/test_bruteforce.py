@@ -9,7 +9,6 @@ from decimal import ROUND_HALF_UP, Decimal
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from lakemart.functions import columns as X
 from lakemart.operators.aggregates import distinct_median, grouped_measures
