@@ -114,12 +114,13 @@ def grouped_measures(
     ``medians``: ``{out: column}`` -> exact median.
     ``row_count_col``: name of an optional row-count column (bigint).
 
-    Plan: each row is unpivoted into one entry per measure ``(measure, value)``
-    (NULL values dropped), entries are counted per
-    ``(keys, measure, value)`` with map-side combine, and a second aggregation
-    per ``keys`` turns the counted entries into maps, weighted means and
-    weighted exact medians (``percentile(value, 0.5, count)``).  Every group
-    of ``df`` appears once, even if all its measures are NULL.
+    Plan: each row is unpivoted into one entry per measure (NULL values
+    dropped).  Entries are counted per ``(keys, measure, value)`` with
+    map-side combine (mean inputs are only summed, so a mean is one partial
+    sum and count per group), and a second aggregation per ``keys`` turns
+    them into maps, means and weighted exact medians
+    (``percentile(value, 0.5, count)``).  Every group of ``df`` appears once,
+    even if all its measures are NULL.
     """
     count_maps = dict(count_maps or {})
     means = dict(means or {})
@@ -135,30 +136,39 @@ def grouped_measures(
     if len(set(names)) != len(names):
         raise ValueError(f"output names must be distinct: {names}")
     tag = {name: idx for idx, name in enumerate(names)}
-
-    def entry(name: str, s: Column, i: Column, d: Column) -> Column:
-        return F.struct(F.lit(tag[name]).cast("tinyint" if len(names) < 128 else "int").alias("m"),
-                        s.alias("s"), i.alias("i"), d.alias("d"))
-
-    entries = [entry(_ROWS, null_s, null_i, null_d)]
+    tag_type = "tinyint" if len(names) < 128 else "int"
+
+    # entry = (m: measure tag, s/i/d: the value counted per distinct value,
+    #          v: a value only summed).  Means carry their value in v, so they
+    #          collapse to one (sum, count) partial per group like avg's buffer;
+    #          maps and medians need the count per distinct value.
+    def entry(name: str, s: Column = null_s, i: Column = null_i, d: Column = null_d,
+              v: Column = null_d) -> Column:
+        return F.struct(F.lit(tag[name]).cast(tag_type).alias("m"),
+                        s.alias("s"), i.alias("i"), d.alias("d"), v.alias("v"))
+
+    entries = [entry(_ROWS)]
     for out, (src, key_type) in count_maps.items():
         if key_type == "string":
-            entries.append(entry(out, _col(src).cast("string"), null_i, null_d))
+            entries.append(entry(out, s=_col(src).cast("string")))
         elif key_type == "int":
-            entries.append(entry(out, null_s, _col(src).cast("bigint"), null_d))
+            entries.append(entry(out, i=_col(src).cast("bigint")))
         else:
             raise ValueError(f"key type must be 'string' or 'int', not {key_type!r}")
-    for out, src in {**means, **medians}.items():
-        entries.append(entry(out, null_s, null_i, to_double(src)))
+    for out, src in means.items():
+        entries.append(entry(out, v=to_double(src)))
+    for out, src in medians.items():
+        entries.append(entry(out, d=to_double(src)))
 
     long = (
         df.select(*keys, F.inline(F.array(*entries)))
-        .filter((F.col("m") == tag[_ROWS]) | F.col("s").isNotNull()
-                | F.col("i").isNotNull() | F.col("d").isNotNull())
+        .filter((F.col("m") == tag[_ROWS]) | F.col("s").isNotNull() | F.col("i").isNotNull()
+                | F.col("d").isNotNull() | F.col("v").isNotNull())
     )
-    counted = long.groupBy(*keys, "m", "s", "i", "d").agg(F.count(F.lit(1)).alias("n"))
+    counted = long.groupBy(*keys, "m", "s", "i", "d").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("v").alias("sv"))
 
-    m, s, i, d, n = (F.col(x) for x in ("m", "s", "i", "d", "n"))
+    m, s, i, d, n, sv = (F.col(x) for x in ("m", "s", "i", "d", "n", "sv"))
     n_out = n.cast(count_type)
     aggs: list[Column] = []
     if row_count_col:
@@ -168,7 +178,7 @@ def grouped_measures(
         pairs = F.collect_list(F.when(m == tag[out], F.struct(key.alias("key"), n_out.alias("value"))))
         aggs.append(F.map_from_entries(F.array_sort(pairs)).alias(out))
     for out in means:
-        total = F.sum(F.when(m == tag[out], d * n))
+        total = F.sum(F.when(m == tag[out], sv))
         weight = F.sum(F.when(m == tag[out], n))
         aggs.append(F.round(total / weight, digits).alias(out))
     for out in medians:
