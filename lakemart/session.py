@@ -51,10 +51,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 def _configured_checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared folder the cluster names for checkpoints, if any."""
-    jsc = spark.sparkContext._jsc  # noqa: SLF001 - public accessor lives on the JVM side
-    opt = jsc.sc().getCheckpointDir()
-    if opt.isDefined():
-        return opt.get()
+    ckpt = spark.sparkContext.getCheckpointDir()
+    if ckpt:
+        return ckpt
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
         return conf_dir
