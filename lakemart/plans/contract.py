@@ -421,6 +421,25 @@ def q_parquet_roundtrip_fact(spark, d):
                        F.size("gender").alias("n_genders"), F.size("countries").alias("n_countries"))
 
 
+def q_stream_refresh(spark, d):
+    """Structured Streaming refresh: arrival files land in two batches (months
+    1-6, then 7-12, together the whole table); after each, the availableNow
+    refresh rebuilds the months it saw.  The stored fact is read back."""
+    from lakemart.streaming import start_refresh
+
+    base = scratch_dir(spark, "stream")
+    raw = raw_arrivals(spark, d).drop("cicid")
+    src, out, ckpt = f"{base}/arrivals", f"{base}/fact", f"{base}/checkpoint"
+    raw.filter(F.col("i94mon") <= 6).write.parquet(f"{src}/batch1")
+    start_refresh(spark, src, out, ckpt).awaitTermination()
+    raw.filter(~(F.col("i94mon") <= 6)).write.parquet(f"{src}/batch2")
+    start_refresh(spark, src, out, ckpt).awaitTermination()
+    back = read_back(spark, out, IMMIGRATION_SCHEMA, KEYS)
+    return back.select(*KEYS, "avg_stay",
+                       F.nanvl("median_age", F.lit(None).cast("double")).alias("median_age"),
+                       F.size("gender").alias("n_genders"), F.size("countries").alias("n_countries"))
+
+
 def q_csv_roundtrip(spark, d):
     """S2-S4, S6: ';'-separated gzip CSV in a nested folder, found by glob, typed on read."""
     base = scratch_dir(spark, "csv")
@@ -476,4 +495,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parquet_roundtrip": q_parquet_roundtrip,
     "parquet_roundtrip_fact": q_parquet_roundtrip_fact,
     "csv_roundtrip": q_csv_roundtrip,
+    "stream_refresh": q_stream_refresh,
 }

@@ -275,4 +275,6 @@ FROM trips GROUP BY month, airport_cd""",
     "parquet_roundtrip_fact": _with(FACT) + (
         "SELECT month, airport_cd, avg_stay, median_age, n_genders, n_countries FROM fact"),
     "csv_roundtrip": "SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer",
+    "stream_refresh": _with(FACT) + (
+        "SELECT month, airport_cd, avg_stay, median_age, n_genders, n_countries FROM fact"),
 }
