@@ -143,3 +143,16 @@ def test_signed_coordinate(spark):
     df = spark.createDataFrame([("12.5n",), ("12.5s",), ("12.5X",), (None,), ("",), ("abN",), ("7e",)], "c string")
     got = [r.v for r in df.select(signed_coordinate("c").alias("v")).collect()]
     assert got == [12.5, -12.5, None, None, None, None, 7.0]
+
+
+def test_text_arrivals_equal_numeric(spark):
+    # the CSV sample form: every column text, numbers written like '4.0'
+    from lakemart.sources.schemas import ARRIVALS_TEXT_SCHEMA
+
+    text_rows = [tuple(None if v is None else (f"{float(v)}" if isinstance(v, int) else v) for v in r)
+                 for r in ARRIVALS]
+    text = spark.createDataFrame(text_rows, ARRIVALS_TEXT_SCHEMA)
+    cols = ["month", "airport_cd", "avg_stay", "median_age"]
+    a = B.build_immigration(B.clean_arrivals(text), empty_median="null").select(*cols, "countries")
+    b = B.build_immigration(B.clean_arrivals(_arrivals(spark)), empty_median="null").select(*cols, "countries")
+    assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
