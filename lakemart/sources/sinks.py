@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakemart.sources.schemas import OUTPUT_TABLES
+from lakemart.sources.schemas import OUTPUT_TABLES, immigration_schema
 
 
 def write_table(
@@ -75,7 +75,12 @@ def read_back(spark: SparkSession, path: str, schema: T.StructType,
     return df.select(*[f.name for f in schema.fields])
 
 
-def read_output(spark: SparkSession, base: str, table: str) -> DataFrame:
-    """Read one of the four output tables back under ``base/table``."""
+def read_output(spark: SparkSession, base: str, table: str, count_type: str = "int") -> DataFrame:
+    """Read one of the four output tables back under ``base/table``.
+
+    ``count_type`` must match the fact's build (``'bigint'`` after wide counts).
+    """
     schema, parts = OUTPUT_TABLES[table]
+    if table == "immigration":
+        schema = immigration_schema(count_type)
     return read_back(spark, f"{base.rstrip('/')}/{table}", schema, parts)
