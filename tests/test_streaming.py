@@ -36,3 +36,19 @@ def test_stream_refresh_matches_full_build(spark, sf001):
     got2 = read_back(spark, out, IMMIGRATION_SCHEMA, IMMIGRATION_PARTITIONS)
     exp2 = B.build_immigration(B.clean_arrivals(raw))
     assert _scalar_rows(got2) == _scalar_rows(exp2)
+
+
+def test_refresh_months_keeps_null_month_group(spark):
+    from pyspark.sql import functions as F
+
+    from lakemart.streaming import refresh_months
+    from tests.test_golden import _arrivals
+
+    arr = _arrivals(spark)
+    arr = arr.unionByName(arr.limit(1).withColumn("i94mon", F.lit(None).cast("double")))
+    out = scratch_dir(spark, "nullmonth")
+    refresh_months(arr, arr.select(F.col("i94mon").cast("int").alias("month")), out)
+    got = read_back(spark, out, IMMIGRATION_SCHEMA, IMMIGRATION_PARTITIONS)
+    exp = B.build_immigration(B.clean_arrivals(arr))
+    assert _scalar_rows(got) == _scalar_rows(exp)
+    assert got.filter("month IS NULL").count() == 1
