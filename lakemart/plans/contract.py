@@ -107,9 +107,9 @@ def raw_airports(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sup.join(nat, F.col("s_nationkey") == F.col("n_nationkey")).select(
         F.when(F.col("s_acctbal") < 0, F.lit(None).cast("string"))
          .otherwise(F.col("s_suppkey").cast("string")).alias("iata_code"),
-        F.when(F.col("s_nationkey") % 3 == 0, F.lit("heliport"))
-         .when(F.col("s_nationkey") % 3 == 1, F.lit("large_airport"))
-         .otherwise(F.lit("small_airport")).alias("type"),
+        F.when(F.col("s_acctbal").between(0, 999.99), F.lit("heliport"))
+         .when(F.col("s_acctbal") < 5000, F.lit("small_airport"))
+         .otherwise(F.lit("large_airport")).alias("type"),
         F.col("s_name").alias("name"),
         F.when(F.col("n_regionkey") == 3, F.lit("GB")).otherwise(F.lit("US")).alias("iso_country"),
         F.when(F.col("n_regionkey") == 4, F.lit("US"))
@@ -160,7 +160,7 @@ def raw_temperature(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_name").alias("City"),
         F.when(F.col("n_regionkey") == 2, F.lit("France")).otherwise(F.lit(B.US_COUNTRY)).alias("Country"),
         F.concat((F.col("n_nationkey") + 10.5).cast("string"),
-                 F.when(F.col("n_nationkey") % 2 == 0, F.lit("N")).otherwise(F.lit("s"))).alias("Latitude"),
+                 F.when(F.col("n_nationkey") < 12, F.lit("N")).otherwise(F.lit("s"))).alias("Latitude"),
         F.concat((F.col("n_regionkey") * 20 + 0.25).cast("string"), F.lit("W")).alias("Longitude"),
     )
 
@@ -298,9 +298,9 @@ def q_c_to_f(spark, d):
 def q_signed_coord(spark, d):
     s = table(spark, d, "supplier")
     k = F.col("s_nationkey")
-    letter = (F.when(k % 5 == 0, "N").when(k % 5 == 1, "S").when(k % 5 == 2, "e")
-              .when(k % 5 == 3, "w").otherwise("X"))
-    digits = F.when(k == 20, F.lit("abc")).otherwise(F.col("s_acctbal").cast("string"))
+    letter = (F.when(k < 5, "N").when(k < 10, "S").when(k < 15, "e")
+              .when(k < 20, "w").otherwise("X"))
+    digits = F.when(k == 0, F.lit("abc")).otherwise(F.col("s_acctbal").cast("string"))
     return s.select("s_suppkey", X.signed_coordinate(F.concat(digits, letter)).alias("coord"))
 
 

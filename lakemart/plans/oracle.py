@@ -87,8 +87,8 @@ fact AS (
 AIRPORTS = """
 raw_airports AS (
   SELECT CASE WHEN s_acctbal < 0 THEN NULL ELSE CAST(s_suppkey AS VARCHAR) END AS iata_code,
-         CASE WHEN s_nationkey % 3 = 0 THEN 'heliport' WHEN s_nationkey % 3 = 1 THEN 'large_airport'
-              ELSE 'small_airport' END AS type,
+         CASE WHEN s_acctbal BETWEEN 0 AND 999.99 THEN 'heliport' WHEN s_acctbal < 5000 THEN 'small_airport'
+              ELSE 'large_airport' END AS type,
          s_name AS name,
          CASE WHEN n_regionkey = 3 THEN 'GB' ELSE 'US' END AS iso_country,
          CASE WHEN n_regionkey = 4 THEN NULL ELSE 'R' || CAST(n_regionkey AS VARCHAR) END AS state,
@@ -147,7 +147,7 @@ raw_temp AS (
          CASE WHEN l_returnflag = 'N' THEN NULL ELSE l_quantity - 20 + l_discount * 10 END AS celsius,
          n_name AS city,
          CASE WHEN n_regionkey = 2 THEN 'France' ELSE 'United States' END AS country,
-         CASE WHEN n_nationkey % 2 = 0 THEN CAST(n_nationkey AS DOUBLE) + 10.5
+         CASE WHEN n_nationkey < 12 THEN CAST(n_nationkey AS DOUBLE) + 10.5
               ELSE -(CAST(n_nationkey AS DOUBLE) + 10.5) END AS latitude,
          -(CAST(n_regionkey * 20 AS DOUBLE) + 0.25) AS longitude
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
@@ -215,9 +215,9 @@ SQL: dict[str, str] = {
         "FROM orders WHERE year(o_orderdate) >= 1998"),
     "c_to_f": f"SELECT p_partkey, {_round2('p_size * CAST(1.8 AS DOUBLE) + 32')} AS temp_f FROM part",
     "signed_coord": (
-        "SELECT s_suppkey, CASE WHEN s_nationkey = 20 THEN NULL "
-        "WHEN s_nationkey % 5 IN (1, 3) THEN -s_acctbal WHEN s_nationkey % 5 IN (0, 2) THEN s_acctbal "
-        "END AS coord FROM supplier"),
+        "SELECT s_suppkey, CASE WHEN s_nationkey = 0 THEN NULL "
+        "WHEN s_nationkey BETWEEN 5 AND 9 OR s_nationkey BETWEEN 15 AND 19 THEN -s_acctbal "
+        "WHEN s_nationkey < 15 THEN s_acctbal END AS coord FROM supplier"),
     "like_filter": (
         "SELECT p_partkey, p_name, p_type, p_brand FROM part "
         "WHERE p_type LIKE '%M%' AND p_brand = 'Brand#2'"),
