@@ -52,3 +52,31 @@ def test_refresh_months_keeps_null_month_group(spark):
     exp = B.build_immigration(B.clean_arrivals(arr))
     assert _scalar_rows(got) == _scalar_rows(exp)
     assert got.filter("month IS NULL").count() == 1
+
+
+def test_refresh_months_literal_path(spark, sf001):
+    from pyspark.sql import functions as F
+
+    from lakemart.streaming import refresh_months
+    from lakemart.streaming.refresh import _scope_to_months
+    from tests.test_golden import _arrivals
+
+    from lakemart.sources.readers import read_arrivals
+
+    mem = _arrivals(spark)
+    mem = mem.unionByName(mem.limit(1).withColumn("i94mon", F.lit(4.5)))  # truncates to month 4
+    src = scratch_dir(spark, "literal-src")
+    mem.write.parquet(src)
+    arr = read_arrivals(spark, src)
+    scoped = _scope_to_months(arr, [4])
+    plan = scoped._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(i94mon,4.0)" in plan and "LessThan(i94mon,5.0)" in plan
+    assert scoped.count() == arr.filter("i94mon >= 4 AND i94mon < 5").count()
+    out = scratch_dir(spark, "literal")
+    refresh_months(arr, [4, 5], out)
+    got = read_back(spark, out, IMMIGRATION_SCHEMA, IMMIGRATION_PARTITIONS)
+    exp = B.build_immigration(B.clean_arrivals(arr))
+    assert _scalar_rows(got) == _scalar_rows(exp)
+    # NULL month in the list keeps the month-less arrivals
+    with_null = arr.unionByName(arr.limit(1).withColumn("i94mon", F.lit(None).cast("double")))
+    assert _scope_to_months(with_null, [None]).count() == 1
