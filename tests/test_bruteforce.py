@@ -137,3 +137,52 @@ def test_distinct_median_vs_python(spark, rows):
             assert got[k] == float(statistics.median(vals))
         else:
             assert math.isnan(got[k])
+
+
+def py_to_int(t):
+    # text -> double -> int, truncating toward zero; bad text or out of range -> None
+    if t is None:
+        return None
+    try:
+        v = float(t.strip())
+    except ValueError:
+        return None
+    if v != v or v in (float("inf"), float("-inf")) or not -2**31 <= int(v) < 2**31:
+        return None
+    return int(v)
+
+
+@SETTINGS
+@given(st.lists(st.one_of(
+    st.none(),
+    st.integers(min_value=-10**6, max_value=10**6).map(str),
+    st.floats(min_value=-1e6, max_value=1e6, allow_nan=False).map(lambda v: f"{v:.3f}"),
+    st.sampled_from(["4.0", " 12 ", "abc", "", "1e3", "-7.9", "3000000000"])), min_size=1, max_size=30))
+def test_to_int_text(spark, texts):
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r.v for r in df.select(X.to_int("t").alias("v")).collect()]
+    assert got == [py_to_int(t) for t in texts]
+
+
+def test_count_map_single_column_and_explode(spark):
+    from lakemart.operators.aggregates import count_map, explode_map
+
+    df = spark.createDataFrame([("A", "x"), ("A", "x"), ("A", None), ("B", None)], "k string, v string")
+    maps = {r.k: r.v for r in count_map(df, ["k"], "v").collect()}
+    assert maps == {"A": {"x": 2}, "B": {}}
+    long = sorted(tuple(r) for r in explode_map(count_map(df, ["k"], "v"), ["k"], "v").collect())
+    assert long == [("A", "x", 2)]
+
+
+def test_pivot_agg_dict_and_column_specs(spark):
+    from pyspark.sql import functions as F
+
+    from lakemart.operators.aggregates import pivot_agg, pivot_sum
+
+    df = spark.createDataFrame([("c", "r1", "1.5"), ("c", "r1", "2"), ("c", "r2", "x"), ("d", "r3", "4")],
+                               "k string, p string, n string")
+    by_dict = {r.k: (r.one, r.two) for r in pivot_sum(df, ["k"], "p", ["r1", "r2"], "n",
+                                                       {"r1": "one", "r2": "two"}).collect()}
+    assert by_dict == {"c": (3.5, None), "d": (None, None)}
+    by_col = {r.k: (r.r1, r.r2) for r in pivot_agg(df, ["k"], "p", ["r1", "r2"], F.count("n"), fill=0).collect()}
+    assert by_col == {"c": (2, 1), "d": (0, 0)}
