@@ -146,3 +146,16 @@ def test_sink_writers_spread_folders(spark):
     back = read_back(spark, path, TEMPERATURE_OUT_SCHEMA, ["month", "city"])
     assert sorted(back.collect()) == sorted(df.collect())
     assert back.filter("month = 3").count() == df.filter("month = 3").count()
+
+
+def test_join_on_keys_null_safe_outer(spark):
+    from lakemart.operators.joins import join_on_keys
+
+    left = spark.createDataFrame([(None, 1), (1, 2), (2, 3)], "k int, x int")
+    right = spark.createDataFrame([(None, 10), (1, 20), (3, 30)], "k int, y int")
+    full = sorted((r.k if r.k is not None else -1, r.x, r.y)
+                  for r in join_on_keys(left, right, ["k"], how="full", null_safe=True).collect())
+    assert full == sorted([(-1, 1, 10), (1, 2, 20), (2, 3, None), (3, None, 30)], key=lambda t: (t[0], t[1] or 0))
+    semi = sorted(r.x for r in join_on_keys(left, right, ["k"], how="left_semi", null_safe=True).collect())
+    assert semi == [1, 2]
+    assert join_on_keys(left, right, ["k"], how="full", null_safe=True).columns == ["k", "x", "y"]
