@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakemart.llm import ngram_join
+from lakemart.llm import decontaminate, line_dedup, ngram_join
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,8 +18,20 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(_table(spark, sf_dir, "documents"), k=3, threshold=(90, 100))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the item and the words where it stands."""
+    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text without later repeated runs of lines."""
+    return line_dedup.dedup_lines(_table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_ngram_join": op4_ngram_join,
+    "op7_decontamination": op7_decontamination,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 SQL: dict[str, str] = {}
