@@ -6,18 +6,29 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakemart.llm import decontaminate, line_dedup, ngram_join
+from lakemart.llm import decontaminate, line_dedup, ngram_join, quality_model, quality_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and the line-first verdict for every document."""
+    return quality_rules.judge(_table(spark, sf_dir, "documents"))
+
+
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 3-word shingle sets have a Jaccard similarity of 0.9 or more."""
     return ngram_join.ngram_components(_table(spark, sf_dir, "documents"), k=3, threshold=(90, 100))
 
 
+def op6_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality score for every document, learnt from labels outside the held-out third."""
+    docs = _table(spark, sf_dir, "documents")
+    return quality_model.score(docs, quality_model.train(docs, _table(spark, sf_dir, "labels")))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, with the item and the words where it stands."""
     return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -29,7 +40,9 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_quality_rules": op3_quality_rules,
     "op4_ngram_join": op4_ngram_join,
+    "op6_quality_model": op6_quality_model,
     "op7_decontamination": op7_decontamination,
     "op10_line_dedup": op10_line_dedup,
 }
