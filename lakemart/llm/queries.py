@@ -6,13 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakemart.llm import decontaminate, line_dedup, ngram_join, quality_model, quality_rules
+from lakemart.llm import bpe, decontaminate, line_dedup, ngram_join, pii, quality_model, quality_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return pii.find_spans(_table(spark, sf_dir, "documents")).drop("redacted")
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and the line-first verdict for every document."""
     return quality_rules.judge(_table(spark, sf_dir, "documents"))
@@ -23,6 +28,19 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(_table(spark, sf_dir, "documents"), k=3, threshold=(90, 100))
 
 
+def tokenizer() -> tuple[bytes, str]:
+    """The rank file's contents and the splitting pattern."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as f:
+        return f.read(), public_tokenizers.PATTERN
+
+
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, and their decoding."""
+    return bpe.encode_documents(_table(spark, sf_dir, "documents"), *tokenizer(), keep_ids=False)
+
+
 def op6_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A quality score for every document, learnt from labels outside the held-out third."""
     docs = _table(spark, sf_dir, "documents")
@@ -40,8 +58,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": op1_pii,
     "op3_quality_rules": op3_quality_rules,
     "op4_ngram_join": op4_ngram_join,
+    "op5_bpe": op5_bpe,
     "op6_quality_model": op6_quality_model,
     "op7_decontamination": op7_decontamination,
     "op10_line_dedup": op10_line_dedup,
