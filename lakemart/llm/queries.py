@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakemart.llm import bpe, decontaminate, line_dedup, ngram_join, pii, quality_model, quality_rules
+from lakemart.llm import bpe, decontaminate, license_scan, line_dedup, ngram_join, pii, quality_model, quality_rules, warc
+from lakemart.session import scratch_dir
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,6 +53,18 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to archives and read back."""
+    folder = scratch_dir(spark, "warc")
+    warc.write_warc(_table(spark, sf_dir, "pages"), folder)
+    return warc.read_warc(spark, folder, payloads=False).drop("url")
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License statements in every document."""
+    return license_scan.scan(_table(spark, sf_dir, "documents"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text without later repeated runs of lines."""
     return line_dedup.dedup_lines(_table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
@@ -64,6 +77,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_bpe": op5_bpe,
     "op6_quality_model": op6_quality_model,
     "op7_decontamination": op7_decontamination,
+    "op8_warc": op8_warc,
+    "op9_license_scan": op9_license_scan,
     "op10_line_dedup": op10_line_dedup,
 }
 
