@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakemart.llm import bpe, decontaminate, license_scan, line_dedup, ngram_join, pii, quality_model, quality_rules, warc
+from lakemart.llm import bpe, decontaminate, html_text, license_scan, line_dedup, ngram_join, pii, quality_model, quality_rules, warc
 from lakemart.session import scratch_dir
 
 
@@ -19,6 +19,11 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_spans(_table(spark, sf_dir, "documents")).drop("redacted")
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_text.extract(_table(spark, sf_dir, "pages"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and the line-first verdict for every document."""
     return quality_rules.judge(_table(spark, sf_dir, "documents"))
@@ -72,6 +77,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
+    "op2_html_text": op2_html_text,
     "op3_quality_rules": op3_quality_rules,
     "op4_ngram_join": op4_ngram_join,
     "op5_bpe": op5_bpe,
