@@ -42,6 +42,8 @@ from lakemart.llm.textblocks import SPACE_WORD, U, blocks, list_column, map_batc
 FEW_RANGES = 32
 #: Sets in one block of a large component.
 BLOCK_SETS = 512
+#: Sets of one key up to which sketches are compared, and the least bits of a sketch.
+FULL_KEY, SKETCH_BITS = 4096, 1024
 
 
 class Threshold:
@@ -71,6 +73,10 @@ class Threshold:
         """One more than two linked sets of class c can differ in."""
         return (self.den - self.num) * 2 * (self.class_floor(c + 1) - 1) // (self.den + self.num) + 1
 
+    def apart(self, sizes):
+        """In how many shingles two linked sets of these sizes together can differ."""
+        return (self.den - self.num) * sizes // (self.den + self.num)
+
     def prefix(self, n: int) -> int:
         return n - -(-n * self.num // self.den) + 1
 
@@ -121,6 +127,41 @@ def routing_keys(tokens: np.ndarray, t: Threshold) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, U)
 
 
+def sketch(tokens: np.ndarray) -> bytes:
+    """Parities of the shingles by slot; a power of two of slots, two or more for each shingle."""
+    bits = max(SKETCH_BITS, 1 << (2 * len(tokens) - 1).bit_length())
+    odd = np.bincount((mix(tokens ^ U(0x2545F491)) & U(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def folded(flat: np.ndarray, start: np.ndarray, length: np.ndarray, to: int) -> np.ndarray:
+    """Sketches of ``length`` 64-bit words from ``start`` on, folded to ``to`` words each."""
+    out = np.empty((len(start), to), U)
+    for n in np.unique(length).tolist():
+        own = length == n
+        rows = flat[start[own][:, None] + np.arange(n)]
+        while rows.shape[1] > to:
+            half = rows.shape[1] // 2
+            rows = rows[:, :half] ^ rows[:, half:]
+        out[own] = rows
+    return out
+
+
+def tied(sizes: np.ndarray, sketches: np.ndarray, t: Threshold) -> Iterator[tuple[int, np.ndarray]]:
+    """(i, others): ties that span the groups of sets whose sketches allow a link."""
+    left = np.arange(len(sizes))
+    while len(left):
+        queue, left = [int(left[0])], left[1:]
+        while queue and len(left):
+            i = queue.pop()
+            differ = np.bitwise_count(sketches[left] ^ sketches[i]).sum(axis=1, dtype=np.int64)
+            near = differ <= t.apart(sizes[left] + sizes[i])
+            if near.any():
+                yield i, left[near]
+                queue += left[near].tolist()
+                left = left[~near]
+
+
 class PrefixTree:
     """Sets (sorted rows of small integers, all different) by shared prefixes, one run of shingles a node."""
 
@@ -211,21 +252,68 @@ def tree_links(left: list[np.ndarray], right: list[np.ndarray] | None, t: Thresh
 def _describe(k: int, t: Threshold):
     def rows(batch):
         ids = batch.column("doc_id").to_pylist()
-        sizes, sids, keys, counts, seen = [], [], [], [], set()
+        sizes, sids, keys, counts, sketches, seen = [], [], [], [], [], set()
         for doc, tokens in zip(ids, shingle_sets(batch.column("text"), k)):
             sizes.append(len(tokens))
             sid = set_id(tokens) if len(tokens) and doc is not None else None
             sids.append(sid)
             own = routing_keys(tokens, t) if sid is not None and sid not in seen else np.zeros(0, U)
             seen.add(sid)
+            sketches.append(sketch(tokens) if sid is not None else None)
             keys.append(own)
             counts.append(len(own))
-        yield {"doc_id": batch.column("doc_id"), "n_shingles": sizes, "set_id": sids,
+        yield {"doc_id": batch.column("doc_id"), "n_shingles": sizes, "set_id": sids, "sketch": sketches,
                "keys": list_column(np.concatenate(keys), np.array(counts))}
 
     return rows
 
 
+def _ties(t: Threshold):
+    """Ties of each key's sets, over rows sorted by key; a key's rows may go over several batches."""
+    def emit(table):
+        key = table.column("key").to_numpy()
+        sid, size = table.column("set_id").to_numpy(), table.column("n").to_numpy()
+        sketches = table.column("sketch").to_pylist()
+        flat = np.frombuffer(b"".join(sketches), U)
+        length = np.array([len(x) // 8 for x in sketches])
+        start = np.cumsum(length) - length
+        cuts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
+        many = np.diff(cuts)
+        two = cuts[:-1][many == 2]
+        words = np.minimum(length[two], length[two + 1])
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for n in np.unique(words).tolist():
+            at = two[words == n]
+            differ = folded(flat, start[at], length[at], n) ^ folded(flat, start[at + 1], length[at + 1], n)
+            near = np.bitwise_count(differ).sum(axis=1, dtype=np.int64) <= t.apart(size[at] + size[at + 1])
+            a.append(sid[at[near]])
+            b.append(sid[at[near] + 1])
+        for lo, hi in zip(cuts[:-1][many > 2].tolist(), cuts[1:][many > 2].tolist()):
+            own = folded(flat, start[lo:hi], length[lo:hi], int(length[lo:hi].min()))
+            for i, others in tied(size[lo:hi], own, t):
+                a.append(np.full(len(others), sid[lo + i]))
+                b.append(sid[lo:hi][others])
+        a, b = np.concatenate(a), np.concatenate(b)
+        pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1) if len(a) else np.zeros((2, 0), np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[0], pa.int64()), pa.array(pairs[1], pa.int64())], ["a", "b"])
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            if held is not None:
+                table = pa.concat_tables([held, table]).combine_chunks()
+            key = table.column("key").to_numpy()
+            whole = int(np.searchsorted(key, key[-1])) if len(key) else 0
+            if whole:
+                yield emit(table.slice(0, whole))
+            held = table.slice(whole)
+        if held is not None and held.num_rows:
+            yield emit(held)
+
+    return run
+
+
 def _tokens(k: int):
     def rows(batch):
         out = []
@@ -276,16 +364,22 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     spark, t = docs.sparkSession, Threshold(*threshold)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    sets = stored(map_batches(texts, _describe(k, t), "doc_id long, n_shingles long, set_id long, keys array<long>"),
+    sets = stored(map_batches(texts, _describe(k, t), "doc_id long, n_shingles long, set_id long, sketch binary, keys array<long>"),
                   spark, "sets")
+    nodes = stored(sets.where("set_id IS NOT NULL").groupBy("set_id")
+                   .agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n"), F.first("sketch").alias("sketch")),
+                   spark, "nodes")
 
     keys = sets.select("set_id", F.explode("keys").alias("key"))
-    shared = keys.groupBy("key").agg(F.min("set_id").alias("b"), F.max("set_id").alias("top")).where("b < top")
-    near = (keys.join(shared.select("key", "b"), "key").where("set_id <> b")
-            .select(F.col("set_id").alias("a"), "b").distinct())
-    candidates = stored(connected_components(near, spark), spark, "candidates")
+    shared = (keys.groupBy("key").agg(F.min("set_id").alias("least"), F.max("set_id").alias("top"), F.count("*").alias("m"))
+              .where("least < top").select("key", "least", "m"))
+    common = stored(keys.join(shared, "key"), spark, "common-keys")
+    small = (common.where(F.col("m") <= FULL_KEY).select("key", "set_id").join(nodes.select("set_id", "n", "sketch"), "set_id")
+             .repartition("key").sortWithinPartitions("key", "set_id"))
+    ties = small.mapInArrow(_ties(t), "a long, b long").unionAll(
+        common.where(F.col("m") > FULL_KEY).select(F.col("set_id").alias("a"), F.col("least").alias("b")))
+    candidates = stored(connected_components(ties, spark), spark, "candidates")
 
-    nodes = stored(sets.where("set_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("doc_id")), spark, "nodes")
     blocks_of = candidates.groupBy("component").agg(F.ceil(F.count("*") / BLOCK_SETS).cast("int").alias("blocks"))
     chosen = (nodes.join(candidates, nodes.set_id == candidates.node).select("doc_id", "set_id", "component")
               .join(blocks_of, "component"))
