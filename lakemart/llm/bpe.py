@@ -7,8 +7,8 @@ before t followed by t is left as it is by the merges.  Encodings are read
 back from the end.  Appending bytes goes on from the stored prefixes and gives
 the same ids as encoding anew; an edit keeps all prefixes before it.
 
-Whether two neighbouring tokens stay apart is found by merging their bytes
-once and is remembered.
+Whether two neighbouring tokens stay apart follows from the parts that lie at
+their border while the merges go on, and is remembered.
 """
 
 from __future__ import annotations
@@ -26,23 +26,29 @@ from pyspark.sql import functions as F
 from lakemart.llm.textblocks import map_batches
 
 #: Entries of each per-process memory before it is emptied.
-MEMORY = 300_000
+MEMORY = 600_000
 
 
 class Vocabulary:
-    """Token ranks, and which tokens can stand side by side."""
+    """Token ranks, which tokens can stand side by side, and last tokens of prefixes seen."""
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.tokens = {r: t for t, r in ranks.items()}
-        self.longest = max(map(len, ranks), default=0)
-        self._apart: dict[tuple[int, int], bool] = {}
-        self._whole: dict[int, bool] = {}
-
-    def merge(self, piece: bytes) -> list[int]:
-        """The piece's ids by merging the lowest-ranked neighbours first."""
+        #: by its last bytes (up to three): the longest token that ends so
+        self.reach: dict[bytes, int] = {}
+        for t in ranks:
+            self.reach[t[-3:]] = max(self.reach.get(t[-3:], 0), len(t))
+        self.packed = {r: r.to_bytes(4, "little") for r in self.tokens}
+        self.last: dict[bytes, int] = {}
+        self._apart: dict[int, bool] = {}
+        self._halves: dict[int, tuple[int, int] | None] = {}
+        self._edges: dict[tuple[int, int], list[tuple[bytes, int]]] = {}
+
+    def merge(self, piece: bytes, stop: int = 1) -> list[int]:
+        """The piece's ids by merging the lowest-ranked neighbours first, down to ``stop`` parts."""
         parts = [piece[i:i + 1] for i in range(len(piece))]
-        while len(parts) > 1:
+        while len(parts) > stop:
             best = min(range(len(parts) - 1), key=lambda i: self.ranks.get(parts[i] + parts[i + 1], 1 << 40))
             joined = parts[best] + parts[best + 1]
             if joined not in self.ranks:
@@ -50,25 +56,62 @@ class Vocabulary:
             parts[best:best + 2] = [joined]
         return [self.ranks[p] for p in parts]
 
+    def halves(self, token: int) -> tuple[int, int] | None:
+        """The two tokens that are merged last to make this one; (token, token) for a byte, None if merges don't make it."""
+        if token not in self._halves:
+            data = self.tokens[token]
+            parts = self.merge(data, 2) if len(data) > 1 else [token, token]
+            self._halves[token] = (parts[0], parts[1]) if len(parts) == 2 else None
+        return self._halves[token]
+
+    def _edge(self, token: int, side: int) -> list[tuple[bytes, int]]:
+        """The parts that lie at a token's left (0) or right (1) edge while it is made, each with the rank of the merge that ends it."""
+        known = self._edges.get((token, side))
+        if known is None:
+            known, t, ends = [], token, 1 << 40
+            while True:
+                known.append((self.tokens[t], ends))
+                if len(self.tokens[t]) == 1:
+                    break
+                ends, t = t, self.halves(t)[side]
+            self._edges[token, side] = known
+        return known
+
     def apart(self, left: int, right: int) -> bool:
-        """Whether the bytes of both tokens together encode as these two tokens."""
-        known = self._apart.get((left, right))
+        """Whether the bytes of both tokens together encode as these two tokens.
+
+        They don't if two parts at the border would be merged while both are
+        there.  Of equal merges the one further left comes first.
+        """
+        key = left << 20 | right
+        known = self._apart.get(key)
         if known is None:
             if len(self._apart) >= MEMORY:
                 self._apart.clear()
-            known = self._apart[left, right] = self.merge(self.tokens[left] + self.tokens[right]) == [left, right]
+            get, known = self.ranks.get, True
+            for b, b_ends in self._edge(right, 0):
+                for a, a_ends in self._edge(left, 1):
+                    rank = get(a + b)
+                    if rank is not None and rank < a_ends and rank <= b_ends:
+                        known = False
+                        break
+                if not known:
+                    break
+            self._apart[key] = known
         return known
 
-    def whole(self, token: int) -> bool:
-        """Whether a token's own bytes encode as it."""
-        known = self._whole.get(token)
-        if known is None:
-            known = self._whole[token] = self.merge(self.tokens[token]) == [token]
-        return known
+    def last_token(self, data: bytes, i: int, before: list[int]) -> int:
+        """The last token of the encoding of data[:i]; ``before`` has those of the shorter prefixes."""
+        get = self.ranks.get
+        for j in range(max(0, i - max(2, self.reach.get(data[max(0, i - 3):i], 0))), i):
+            t = get(data[j:i])
+            if t is not None and self.halves(t) is not None and (not j or self.apart(before[j], t)):
+                return t
+        raise ValueError("a byte of the text is not in the vocabulary")
 
 
 class Prefixes:
-    """The last token of each byte prefix of a piece."""
+    """The last token of each byte prefix of a piece; prefixes of earlier pieces are looked up."""
 
     def __init__(self, vocabulary: Vocabulary, piece: bytes = b""):
         self.vocabulary, self.data, self.last = vocabulary, b"", [-1]
@@ -76,16 +119,20 @@ class Prefixes:
 
     def append(self, more: bytes) -> Prefixes:
         """Go on from the stored prefixes."""
-        v = self.vocabulary
+        v, last = self.vocabulary, self.last
         data = self.data = self.data + more
-        for i in range(len(self.last), len(data) + 1):
-            for j in range(max(0, i - v.longest), i):
-                t = v.ranks.get(data[j:i])
-                if t is not None and (v.apart(self.last[j], t) if j else v.whole(t)):
-                    self.last.append(t)
-                    break
-            else:
-                raise ValueError("a byte of the text is not in the vocabulary")
+        seen = v.last
+        if len(seen) >= MEMORY:
+            seen.clear()
+        for i in range(len(last), len(data) + 1):
+            if i > 24:  # prefixes of long pieces are not kept
+                last.append(v.last_token(data, i, last))
+                continue
+            prefix = data[:i]
+            t = seen.get(prefix)
+            if t is None:
+                t = seen[prefix] = v.last_token(data, i, last)
+            last.append(t)
         return self
 
     def replace(self, start: int, end: int, by: bytes) -> Prefixes:
@@ -111,9 +158,11 @@ class Encoder(dict):
     """
 
     _CUT = re.compile(r"(?<=\S) (?=\S)")
+    _TAIL = frozenset(".,;:!?")  # after letters each is a match of its own
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         super().__init__()
+        self._older: dict[str, bytes] = {}
         self.vocabulary, self._pattern = Vocabulary(ranks), regex.compile(pattern)
 
     def encode_piece(self, piece: bytes) -> list[int]:
@@ -121,15 +170,26 @@ class Encoder(dict):
         own = self.vocabulary.ranks.get(piece)
         return [own] if own is not None else Prefixes(self.vocabulary, piece).ids()
 
+    def _pack_piece(self, piece: bytes) -> bytes:
+        return b"".join(map(self.vocabulary.packed.__getitem__, self.encode_piece(piece)))
+
     def pack(self, text: str) -> bytes:
-        ids = [i for m in self._pattern.finditer(text) for i in self.encode_piece(m.group().encode())]
-        return np.array(ids, "<u4").tobytes()
+        return b"".join([self._pack_piece(m.group().encode()) for m in self._pattern.finditer(text)])
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= MEMORY:
-            self.clear()
-        packed = self.pack(" " + word)
+        """Packed ids of a space and a word; words met again stay when the memory is renewed."""
+        packed = self._older.pop(word, None)
+        if packed is None:
+            if word.isalpha():
+                packed = self._pack_piece(b" " + word.encode())  # letters are one match
+            elif word[-1] in self._TAIL and word[:-1].isalpha():
+                packed = self[word[:-1]] + self._pack_piece(word[-1].encode())
+            else:
+                packed = self.pack(" " + word)
         if len(word) <= 64:
+            if len(self) >= MEMORY // 2:
+                self._older = dict(self)
+                self.clear()
             self[word] = packed
         return packed
 

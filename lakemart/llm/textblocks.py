@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 
 U = np.uint64
 BLOCK_BYTES = 2 << 20
+#: Bytes of a batch that map_batches hands on at once (or one row, if that is longer).
+SLICE_BYTES = 4 << 20
 
 _BASE = U(0x9E3779B97F4A7C15)
 _INVERSE = U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -148,9 +150,8 @@ def map_batches(df: DataFrame, fn, schema: str) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            for cols in fn(batch):
+            step = max(1, batch.num_rows * SLICE_BYTES // max(1, batch.nbytes))
+            for cols in (c for at in range(0, batch.num_rows, step) for c in fn(batch.slice(at, step))):
                 yield pa.RecordBatch.from_arrays(
                     [c if isinstance(c, pa.Array) and c.type == f.type else pa.array(c, type=f.type)
                      for f, c in ((f, cols[f.name]) for f in target)], schema=target)
