@@ -220,4 +220,5 @@ def read_warc(spark: SparkSession, folder: str, payloads: bool = True) -> DataFr
                     yield {c: [r[c] for r in rows] for c in rows[0]}
 
     files = spark.read.schema(_MANIFEST).parquet(f"{folder}/manifest").select("file")
-    return map_batches(files.repartition(F.col("file")), read, schema)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))  # a stated number is not coalesced by size
+    return map_batches(files.repartition(tasks, "file"), read, schema)
