@@ -53,7 +53,9 @@ def to_int(c: ColumnOrName) -> Column:
 
 
 def to_long(c: ColumnOrName) -> Column:
-    return _col(c).try_cast("double").try_cast("bigint")
+    """Text or number -> bigint, exact for whole numbers of 64 bits; text with a
+    fraction is truncated toward zero, bad or out-of-range values give NULL."""
+    return F.coalesce(_col(c).try_cast("bigint"), _col(c).try_cast("double").try_cast("bigint"))
 
 
 # --- codes and values (X1, X2, X4, X14) ----------------------------------------
@@ -107,8 +109,8 @@ def parse_date(c: ColumnOrName, fmt: str | None = None) -> Column:
 # --- numbers (X10, X11, X12) -------------------------------------------------------
 
 def celsius_to_fahrenheit(c: ColumnOrName) -> Column:
-    """c * 9/5 + 32 in double arithmetic; NULL stays NULL."""
-    return _col(c).cast("double") * F.lit(1.8) + F.lit(32.0)
+    """c * 9/5 + 32 in double arithmetic; NULL and bad text give NULL."""
+    return to_double(c) * F.lit(1.8) + F.lit(32.0)
 
 
 def round_half_up(c: ColumnOrName, digits: int = 2) -> Column:

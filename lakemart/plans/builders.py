@@ -144,7 +144,8 @@ def build_demographics(raw: DataFrame) -> DataFrame:
                       renames={"City": "city", "State Code": "state", **RACE_COLUMNS})
     return city.join(races, on=["city", "state"], how="inner").select(
         "city", "state", "median_age", "male_pop", "female_pop",
-        *[X.to_int(c).alias(c) for c in RACE_COLUMNS.values()],
+        # a population beyond 32 bits raises instead of turning into NULL
+        *[F.col(c).cast("int").alias(c) for c in RACE_COLUMNS.values()],
         "veterans", "foreign_born", "avg_hh_size",
     )
 

@@ -391,7 +391,7 @@ def _filtered_raw(spark, d):
 
 
 def q_pivot_gender(spark, d):
-    return pivot_agg(_filtered_raw(spark, d), KEYS, "gender", ["A", "R"],
+    return pivot_agg(_filtered_raw(spark, d).where("gender IS NOT NULL"), KEYS, "gender", ["A", "R"],
                      F.count_distinct("cicid"), renames={"A": "n_a", "R": "n_r"}, fill=0)
 
 
@@ -432,7 +432,7 @@ def q_stream_refresh(spark, d):
     src, out, ckpt = f"{base}/arrivals", f"{base}/fact", f"{base}/checkpoint"
     raw.filter(F.col("i94mon") <= 6).write.parquet(f"{src}/batch1")
     start_refresh(spark, src, out, ckpt).awaitTermination()
-    raw.filter(~(F.col("i94mon") <= 6)).write.parquet(f"{src}/batch2")
+    raw.filter(F.coalesce(F.col("i94mon") > 6, F.lit(True))).write.parquet(f"{src}/batch2")
     start_refresh(spark, src, out, ckpt).awaitTermination()
     back = read_back(spark, out, IMMIGRATION_SCHEMA, KEYS)
     return back.select(*KEYS, "avg_stay",

@@ -262,7 +262,7 @@ LEFT JOIN temperature t ON a.city = t.city AND f.month = t.month""",
 SELECT CAST(i94mon AS INTEGER) AS month, i94port AS airport_cd,
        count(DISTINCT cicid) FILTER (WHERE gender = 'A') AS n_a,
        count(DISTINCT cicid) FILTER (WHERE gender = 'R') AS n_r
-FROM raw_arrivals WHERE i94mode = 1 AND i94port NOT IN ('XXX', '888', 'UNK')
+FROM raw_arrivals WHERE i94mode = 1 AND i94port NOT IN ('XXX', '888', 'UNK') AND gender IS NOT NULL
 GROUP BY CAST(i94mon AS INTEGER), i94port""",
     "pivot_trip": _with(TRIPS) + """
 SELECT month, airport_cd,

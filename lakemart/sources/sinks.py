@@ -61,17 +61,10 @@ def read_back(spark: SparkSession, path: str, schema: T.StructType,
 
     Partition columns are typed by ``schema``, not inferred from the folder
     names (a folder set whose only ``airport_cd`` is ``007`` would otherwise
-    come back as an int).  Filters on partition columns prune folders.
+    come back as an int).  Filters on partition columns prune folders.  An empty
+    table gives no rows, and hidden folders (a refresh's staging data) are not read.
     """
-    parts = list(partition_by or [])
-    reader = spark.read.format(fmt).schema(schema)
-    if parts:
-        # list the partition folders through one glob (one listing job for all
-        # leaf folders instead of one per folder of the first level)
-        glob = "/".join(["*"] * len(parts))
-        df = reader.option("basePath", path).load(f"{path.rstrip('/')}/{glob}")
-    else:
-        df = reader.load(path)
+    df = spark.read.format(fmt).schema(schema).load(path)
     return df.select(*[f.name for f in schema.fields])
 
 
