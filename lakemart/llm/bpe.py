@@ -27,6 +27,8 @@ from lakemart.llm.textblocks import map_batches
 
 #: Entries of each per-process memory before it is emptied.
 MEMORY = 600_000
+#: Pieces of so many bytes share the memory of prefixes.
+SHORT = 24
 
 
 class Vocabulary:
@@ -35,11 +37,16 @@ class Vocabulary:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.tokens = {r: t for t, r in ranks.items()}
-        #: by its last bytes (up to three): the longest token that ends so
-        self.reach: dict[bytes, int] = {}
+        #: by four last bytes: the lengths of the tokens that end so, longest first
+        self.lengths: dict[bytes, tuple[int, ...]] = {}
+        ends: dict[bytes, set[int]] = {}
         for t in ranks:
-            self.reach[t[-3:]] = max(self.reach.get(t[-3:], 0), len(t))
+            if len(t) >= 4:
+                ends.setdefault(t[-4:], {1, 2, 3}).add(len(t))
+        for end, found in ends.items():
+            self.lengths[end] = tuple(sorted(found, reverse=True))
         self.packed = {r: r.to_bytes(4, "little") for r in self.tokens}
+        #: last token of each prefix of the short pieces seen
         self.last: dict[bytes, int] = {}
         self._apart: dict[int, bool] = {}
         self._halves: dict[int, tuple[int, int] | None] = {}
@@ -81,15 +88,16 @@ class Vocabulary:
         """Whether the bytes of both tokens together encode as these two tokens.
 
         They don't if two parts at the border would be merged while both are
-        there.  Of equal merges the one further left comes first.
+        there.  Of equal merges the one further left comes first.  A right
+        token that merges don't make stands beside none.
         """
         key = left << 20 | right
         known = self._apart.get(key)
         if known is None:
             if len(self._apart) >= MEMORY:
                 self._apart.clear()
-            get, known = self.ranks.get, True
-            for b, b_ends in self._edge(right, 0):
+            get, known = self.ranks.get, self.halves(right) is not None
+            for b, b_ends in self._edge(right, 0) if known else ():
                 for a, a_ends in self._edge(left, 1):
                     rank = get(a + b)
                     if rank is not None and rank < a_ends and rank <= b_ends:
@@ -100,18 +108,48 @@ class Vocabulary:
             self._apart[key] = known
         return known
 
-    def last_token(self, data: bytes, i: int, before: list[int]) -> int:
-        """The last token of the encoding of data[:i]; ``before`` has those of the shorter prefixes."""
-        get = self.ranks.get
-        for j in range(max(0, i - max(2, self.reach.get(data[max(0, i - 3):i], 0))), i):
-            t = get(data[j:i])
-            if t is not None and self.halves(t) is not None and (not j or self.apart(before[j], t)):
-                return t
+    def last_token(self, data: bytes, i: int, before: list[int] | None = None) -> int:
+        """The last token of the encoding of data[:i].
+
+        ``before`` has the last tokens of the shorter prefixes; without it they are in ``last``.
+        """
+        get, apart = self.ranks.get, self._apart
+        for n in self.lengths.get(data[i - 4:i], (3, 2, 1)) if i >= 4 else (3, 2, 1):
+            if n < i:
+                j = i - n
+                t = get(data[j:i])
+                if t is not None:
+                    left = before[j] if before is not None else self.last[data[:j]]
+                    known = apart.get(left << 20 | t)
+                    if known or (known is None and self.apart(left, t)):
+                        return t
+            elif n == i:
+                t = get(data[:i])
+                if t is not None and self.halves(t) is not None:
+                    return t
         raise ValueError("a byte of the text is not in the vocabulary")
 
+    def encode_short(self, piece: bytes) -> list[int]:
+        """Ids of a piece, going on from the longest of its prefixes seen before; all its prefixes are kept."""
+        seen = self.last
+        if len(seen) >= MEMORY:
+            seen.clear()
+        end = i = len(piece)
+        while i and piece[:i] not in seen:
+            i -= 1
+        while i < end:
+            i += 1
+            seen[piece[:i]] = self.last_token(piece, i)
+        out, tokens = [], self.tokens
+        while i:
+            t = seen[piece[:i]]
+            out.append(t)
+            i -= len(tokens[t])
+        return out[::-1]
+
 
 class Prefixes:
-    """The last token of each byte prefix of a piece; prefixes of earlier pieces are looked up."""
+    """The last token of each byte prefix of a piece."""
 
     def __init__(self, vocabulary: Vocabulary, piece: bytes = b""):
         self.vocabulary, self.data, self.last = vocabulary, b"", [-1]
@@ -119,20 +157,10 @@ class Prefixes:
 
     def append(self, more: bytes) -> Prefixes:
         """Go on from the stored prefixes."""
-        v, last = self.vocabulary, self.last
+        last, last_token = self.last, self.vocabulary.last_token
         data = self.data = self.data + more
-        seen = v.last
-        if len(seen) >= MEMORY:
-            seen.clear()
         for i in range(len(last), len(data) + 1):
-            if i > 24:  # prefixes of long pieces are not kept
-                last.append(v.last_token(data, i, last))
-                continue
-            prefix = data[:i]
-            t = seen.get(prefix)
-            if t is None:
-                t = seen[prefix] = v.last_token(data, i, last)
-            last.append(t)
+            last.append(last_token(data, i, last))
         return self
 
     def replace(self, start: int, end: int, by: bytes) -> Prefixes:
@@ -158,6 +186,7 @@ class Encoder(dict):
     """
 
     _CUT = re.compile(r"(?<=\S) (?=\S)")
+    _UNEVEN = re.compile(r" \s|\s(?: |\Z)|\A\s")  # some space isn't such a cut
     _TAIL = frozenset(".,;:!?")  # after letters each is a match of its own
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
@@ -168,7 +197,9 @@ class Encoder(dict):
     def encode_piece(self, piece: bytes) -> list[int]:
         """Ids of one match of the pattern; a piece that is a token is that token."""
         own = self.vocabulary.ranks.get(piece)
-        return [own] if own is not None else Prefixes(self.vocabulary, piece).ids()
+        if own is not None:
+            return [own]
+        return self.vocabulary.encode_short(piece) if len(piece) <= SHORT else Prefixes(self.vocabulary, piece).ids()
 
     def _pack_piece(self, piece: bytes) -> bytes:
         return b"".join(map(self.vocabulary.packed.__getitem__, self.encode_piece(piece)))
@@ -196,9 +227,7 @@ class Encoder(dict):
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
-        words = text.split(" ")
-        if not (all(words) and not any(w[0].isspace() or w[-1].isspace() for w in words)):
-            words = self._CUT.split(text)
+        words = self._CUT.split(text) if self._UNEVEN.search(text) else text.split(" ")
         return b"".join([self.pack(words[0]), *map(self.__getitem__, words[1:])])
 
     def decode(self, packed: bytes) -> bytes:
