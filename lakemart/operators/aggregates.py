@@ -189,9 +189,18 @@ def grouped_measures(
 
 def count_map(df: DataFrame, keys: Sequence[str], column: str, key_type: str = "string",
               out: str | None = None, count_type: str = "int") -> DataFrame:
-    """A4 for one column: keys + ``map<value, count>`` (empty map if all NULL)."""
-    return grouped_measures(df, keys, count_maps={out or column: (column, key_type)},
-                            count_type=count_type)
+    """A4 for one column: keys + ``map<value, count>`` (empty map if all NULL).
+
+    The values are counted as they are (map-side combine), without the unpivot
+    that several measures of ``grouped_measures`` share.
+    """
+    if key_type not in ("string", "int"):
+        raise ValueError(f"key type must be 'string' or 'int', not {key_type!r}")
+    key = F.col("__key")
+    counted = (df.select(*keys, _col(column).cast(key_type).alias("__key"))
+               .groupBy(*keys, "__key").agg(F.count(F.lit(1)).cast(count_type).alias("__n")))
+    pairs = F.collect_list(F.when(key.isNotNull(), F.struct(key.alias("key"), F.col("__n").alias("value"))))
+    return counted.groupBy(*keys).agg(F.map_from_entries(F.array_sort(pairs)).alias(out or column))
 
 
 def explode_map(df: DataFrame, keys: Sequence[str], map_col: str,

@@ -7,6 +7,8 @@ because the order changes the result (see the notes on each builder).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -74,7 +76,8 @@ def clean_arrivals(raw: DataFrame) -> DataFrame:
 
 
 def build_immigration(clean: DataFrame, *, empty_median: str = "nan", stable_id: bool = False,
-                      with_visits: bool = False, count_type: str = "int") -> DataFrame:
+                      with_visits: bool = False, count_type: str = "int",
+                      measures: Sequence[str] | None = None) -> DataFrame:
     """M1: the fact table, one row per (month, airport_cd).
 
     Measures: five value->count maps, ``round(avg(length_of_stay), 2)`` and
@@ -84,19 +87,30 @@ def build_immigration(clean: DataFrame, *, empty_median: str = "nan", stable_id:
     original computed but did not store.  Map counts are ``int`` as in the
     output contract; a count beyond 2^31 raises (ANSI) rather than wrapping,
     and ``count_type='bigint'`` widens the maps for inputs that large.
+
+    ``measures``: the measure columns to build (default: all).  Entries are made
+    for these alone, since Spark can't prune unused ones out of the unpivot;
+    with none the fact is the distinct keys and their ids.
     """
-    measures = grouped_measures(
-        clean, FACT_KEYS,
-        count_maps=MAP_MEASURES,
-        means={"avg_stay": "length_of_stay"},
-        medians={"median_age": "age"},
-        row_count_col="visits" if with_visits else None,
-        empty_median=empty_median,
-        count_type=count_type,
-    )
-    cols = FACT_COLUMNS + (["visits"] if with_visits else [])
+    wanted = FACT_COLUMNS[len(FACT_KEYS):] if measures is None else list(measures)
+    unknown = set(wanted) - set(FACT_COLUMNS[len(FACT_KEYS):])
+    if unknown:
+        raise ValueError(f"no such measures: {sorted(unknown)}")
+    if wanted or with_visits:
+        built = grouped_measures(
+            clean, FACT_KEYS,
+            count_maps={m: spec for m, spec in MAP_MEASURES.items() if m in wanted},
+            means={"avg_stay": "length_of_stay"} if "avg_stay" in wanted else {},
+            medians={"median_age": "age"} if "median_age" in wanted else {},
+            row_count_col="visits" if with_visits else None,
+            empty_median=empty_median,
+            count_type=count_type,
+        )
+    else:
+        built = clean.select(*FACT_KEYS).distinct()
+    cols = [c for c in FACT_COLUMNS if c in FACT_KEYS or c in wanted] + (["visits"] if with_visits else [])
     id_col = X.surrogate_id(*FACT_KEYS) if stable_id else X.surrogate_id()
-    return measures.select(*cols, id_col.alias("immigration_id"))
+    return built.select(*cols, id_col.alias("immigration_id"))
 
 
 def build_airports(raw: DataFrame, *, require_iata: bool = False, require_city: bool = False,

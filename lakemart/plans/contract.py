@@ -21,15 +21,16 @@ from pyspark.sql import functions as F
 
 from lakemart.functions import columns as X
 from lakemart.operators import quality as Q
-from lakemart.operators.aggregates import (approx_median, explode_map, exact_median, pivot_agg,
+from lakemart.operators.aggregates import (approx_median, count_map, explode_map, exact_median, pivot_agg,
                                            pivot_sum, rounded_mean, row_count)
 from lakemart.operators.joins import join_measures, snowflake
 from lakemart.operators.setops import union_all
 from lakemart.plans import builders as B
+from lakemart.plans import pipeline as P
 from lakemart.session import scratch_dir
-from lakemart.sources.readers import read_csv
+from lakemart.sources.readers import read_csv, read_csv_by_name
 from lakemart.sources.schemas import IMMIGRATION_SCHEMA, TEMPERATURE_OUT_SCHEMA
-from lakemart.sources.sinks import read_back, write_table
+from lakemart.sources.sinks import default_writers, read_back, read_output, write_table
 
 KEYS = B.FACT_KEYS
 # analogue encodings (fixed for the contract; the oracle SQL repeats them)
@@ -171,8 +172,8 @@ def trips(spark, d):
     return B.clean_arrivals(raw_arrivals(spark, d))
 
 
-def fact(spark, d, with_visits=True):
-    return B.build_immigration(trips(spark, d), empty_median="null", with_visits=with_visits)
+def fact(spark, d, with_visits=True, measures=None):
+    return B.build_immigration(trips(spark, d), empty_median="null", with_visits=with_visits, measures=measures)
 
 
 def airports(spark, d):
@@ -211,7 +212,8 @@ def q_approx_median_age(spark, d):
 
 def _count_map_query(map_col):
     def q(spark, d):
-        return explode_map(fact(spark, d, with_visits=False), KEYS, map_col, "key", "n")
+        column, key_type = B.MAP_MEASURES[map_col]
+        return explode_map(count_map(trips(spark, d), KEYS, column, key_type, map_col), KEYS, map_col, "key", "n")
     q.__name__ = f"q_count_map_{map_col}"
     return q
 
@@ -238,7 +240,7 @@ def q_join_measures(spark, d):
 
 
 def q_surrogate_id(spark, d):
-    return fact(spark, d, with_visits=False).agg(
+    return fact(spark, d, with_visits=False, measures=()).agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_distinct("immigration_id").alias("n_ids"))
 
 
@@ -341,7 +343,7 @@ def q_airport_dim(spark, d):
 def q_union_files(spark, d):
     li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag")
     ln = F.col("l_linenumber")
-    parts = [li.filter(ln <= 2), li.filter((ln > 2) & (ln <= 4)), li.filter(ln > 4)]
+    parts = [li.filter(ln <= 2), li.filter((ln > 2) & (ln <= 4)), li.filter((ln > 4) | ln.isNull())]
     return union_all(parts)
 
 
@@ -350,19 +352,19 @@ def q_null_counts(spark, d):
 
 
 def q_dup_keys(spark, d):
-    return Q.duplicate_keys(fact(spark, d, with_visits=False), ["airport_cd"])
+    return Q.duplicate_keys(fact(spark, d, with_visits=False, measures=()), ["airport_cd"])
 
 
 def q_dup_fact_keys(spark, d):
-    return Q.duplicate_keys(fact(spark, d, with_visits=False), KEYS)
+    return Q.duplicate_keys(fact(spark, d, with_visits=False, measures=()), KEYS)
 
 
 def q_distinct_count(spark, d):
-    return Q.distinct_count(fact(spark, d, with_visits=False), ["month"], expected=12)
+    return Q.distinct_count(fact(spark, d, with_visits=False, measures=()), ["month"], expected=12)
 
 
 def q_join_coverage(spark, d):
-    return Q.join_coverage(fact(spark, d, with_visits=False), airports(spark, d), "airport_cd", KEYS)
+    return Q.join_coverage(fact(spark, d, with_visits=False, measures=()), airports(spark, d), "airport_cd", KEYS)
 
 
 def q_profile(spark, d):
@@ -379,7 +381,7 @@ def q_categories(spark, d):
 
 
 def q_snowflake_join(spark, d):
-    f = fact(spark, d, with_visits=False)
+    f = fact(spark, d, with_visits=False, measures=["avg_stay", "median_age"])
     return snowflake(f, airports(spark, d), demographics(spark, d), temperature(spark, d),
                      fact_cols=["month", "airport_cd", "avg_stay", "median_age"])
 
@@ -408,14 +410,14 @@ def q_avg_age(spark, d):
 def q_parquet_roundtrip(spark, d):
     """K4 + S5: write the temperature table partitioned by (month, city), read it back."""
     path = scratch_dir(spark, "temperature")
-    write_table(temperature(spark, d), path, ["month", "city"], writers=spark.sparkContext.defaultParallelism)
+    write_table(temperature(spark, d), path, ["month", "city"], writers=default_writers(spark))
     return read_back(spark, path, TEMPERATURE_OUT_SCHEMA, ["month", "city"])
 
 
 def q_parquet_roundtrip_fact(spark, d):
     """K1 + S5: write the fact partitioned by (month, airport_cd), read it back."""
     path = scratch_dir(spark, "immigration")
-    write_table(fact(spark, d, with_visits=False), path, KEYS, writers=spark.sparkContext.defaultParallelism)
+    write_table(fact(spark, d, with_visits=False), path, KEYS, writers=default_writers(spark))
     back = read_back(spark, path, IMMIGRATION_SCHEMA, KEYS)
     return back.select(*KEYS, "avg_stay", "median_age",
                        F.size("gender").alias("n_genders"), F.size("countries").alias("n_countries"))
@@ -451,6 +453,71 @@ def q_csv_roundtrip(spark, d):
                        X.to_double("c_acctbal").alias("c_acctbal"), "c_mktsegment")
 
 
+def q_union_csv(spark, d):
+    """Plain comma CSV in two layouts (columns in another order, one more), quoted cells; by name."""
+    base = scratch_dir(spark, "layouts")
+    c = table(spark, d, "customer").select(
+        "c_custkey", F.concat("c_name", F.lit(", "), "c_mktsegment").alias("label"), "c_acctbal", "c_nationkey")
+    debt = F.coalesce(F.col("c_acctbal") < 0, F.lit(False))
+    write_table(c.filter(debt).drop("c_nationkey"), f"{base}/a", fmt="csv", options={"header": "true"})
+    write_table(c.filter(~debt).select("c_nationkey", "c_acctbal", "label", "c_custkey"), f"{base}/b",
+                fmt="csv", options={"header": "true"})
+    back = read_csv_by_name(spark, [f"{base}/a", f"{base}/b"], ["c_custkey", "label", "c_acctbal"])
+    return back.select(X.to_long("c_custkey").alias("c_custkey"), "label", X.to_double("c_acctbal").alias("c_acctbal"))
+
+
+def q_raw_null_counts(spark, d):
+    """Q1 over the raw arrivals."""
+    return Q.null_counts(raw_arrivals(spark, d))
+
+
+def q_raw_null_counts_temperature(spark, d):
+    """Q1 over the raw temperatures."""
+    return Q.null_counts(raw_temperature(spark, d))
+
+
+def q_type_check(spark, d):
+    """Q5: the stored type of a column against the expected one, beside the rows it holds for."""
+    t = temperature(spark, d)
+    actual = t.schema["median_avg_temp"].dataType
+    expected = TEMPERATURE_OUT_SCHEMA["median_avg_temp"].dataType
+    return t.agg(F.count(F.lit(1)).alias("n_rows")).select(
+        F.lit("median_avg_temp").alias("column_name"), F.lit(expected.simpleString()).alias("expected"),
+        F.lit(actual.simpleString()).alias("actual"),
+        F.lit(Q.has_type(t, "median_avg_temp", expected)).alias("ok"), "n_rows")
+
+
+def q_airport_dim_strict(spark, d):
+    """M2 with code and city required."""
+    return B.build_airports(raw_airports(spark, d), require_iata=True, require_city=True)
+
+
+def q_dup_trip_keys(spark, d):
+    """Q2 on rows that do repeat their keys: the cleaned rows."""
+    return Q.duplicate_keys(trips(spark, d), KEYS)
+
+
+def q_pipeline_all(spark, d):
+    """M5: the four sources written as files, built, stored (K1-K4) and read back."""
+    base = scratch_dir(spark, "mart")
+    write_table(raw_arrivals(spark, d).drop("cicid"), f"{base}/arrivals")
+    for name, raw, sep in (("airports", raw_airports, ","), ("cities", raw_demographics, ";"),
+                           ("temperatures", raw_temperature, ",")):
+        write_table(raw(spark, d), f"{base}/{name}", fmt="csv", options={"header": "true", "sep": sep})
+    P.run(spark, P.Sources(f"{base}/arrivals", f"{base}/airports", f"{base}/cities", f"{base}/temperatures"),
+          f"{base}/out")
+    n_rows = F.count(F.lit(1)).alias("n_rows")
+    airlines = F.aggregate(F.map_values("airlines"), F.lit(0).cast("bigint"), lambda acc, n: acc + n)
+    checks = {"immigration": (F.count_distinct("immigration_id"), F.sum(airlines)),
+              "airports": (F.count_distinct("city"), F.count("airport_cd")),
+              "demographics": (F.count_distinct("city", "state"), F.sum("white_pop")),
+              "temperature": (F.count_distinct("city"), F.sum("month"))}
+    return union_all([
+        read_output(spark, f"{base}/out", name).agg(n_rows, keys.alias("n_keys"), total.cast("bigint").alias("total"))
+        .select(F.lit(name).alias("table_name"), "n_rows", "n_keys", "total")
+        for name, (keys, total) in checks.items()])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_trips": q_clean_trips,
     "group_count": q_group_count,
@@ -496,4 +563,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parquet_roundtrip_fact": q_parquet_roundtrip_fact,
     "csv_roundtrip": q_csv_roundtrip,
     "stream_refresh": q_stream_refresh,
+    "union_csv": q_union_csv,
+    "raw_null_counts": q_raw_null_counts,
+    "raw_null_counts_temperature": q_raw_null_counts_temperature,
+    "type_check": q_type_check,
+    "airport_dim_strict": q_airport_dim_strict,
+    "dup_trip_keys": q_dup_trip_keys,
+    "pipeline_all": q_pipeline_all,
 }

@@ -277,4 +277,28 @@ FROM trips GROUP BY month, airport_cd""",
     "csv_roundtrip": "SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer",
     "stream_refresh": _with(FACT) + (
         "SELECT month, airport_cd, avg_stay, median_age, n_genders, n_countries FROM fact"),
+    "union_csv": "SELECT c_custkey, c_name || ', ' || c_mktsegment AS label, c_acctbal FROM customer",
+    "raw_null_counts": _with(RAW_ARRIVALS) + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) - count({c}) AS null_count FROM raw_arrivals"
+        for c in ["cicid", "i94mon", "i94cit", "i94port", "arrdate", "depdate", "i94mode", "i94bir", "i94visa",
+                  "gender", "airline", "visatype"]),
+    "raw_null_counts_temperature": _with(TEMPERATURE) + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) - count({e}) AS null_count FROM raw_temp"
+        for c, e in [("dt", "yr"), ("AverageTemperature", "celsius"), ("City", "city"), ("Country", "country"),
+                     ("Latitude", "latitude"), ("Longitude", "longitude")]),
+    "type_check": _with(TEMPERATURE) + (
+        "SELECT 'median_avg_temp' AS column_name, 'double' AS expected, "
+        "lower(max(typeof(median_avg_temp))) AS actual, max(typeof(median_avg_temp)) = 'DOUBLE' AS ok, "
+        "count(*) AS n_rows FROM temperature"),
+    "airport_dim_strict": _with(AIRPORTS) + (
+        "SELECT * FROM airports WHERE airport_cd IS NOT NULL AND city IS NOT NULL"),
+    "dup_trip_keys": _with(TRIPS) + (
+        "SELECT count(*) AS duplicate_keys FROM (SELECT month, airport_cd FROM trips "
+        "GROUP BY month, airport_cd HAVING count(*) >= 2)"),
+    "pipeline_all": _with(FACT, AIRPORTS, DEMOGRAPHICS, TEMPERATURE) + """
+SELECT 'immigration' AS table_name, count(*) AS n_rows, count(*) AS n_keys,
+       (SELECT count(airline_cd) FROM trips) AS total FROM fact
+UNION ALL SELECT 'airports', count(*), count(DISTINCT city), count(airport_cd) FROM airports
+UNION ALL SELECT 'demographics', count(*), count(DISTINCT (city, state)), CAST(sum(white_pop) AS BIGINT) FROM demographics
+UNION ALL SELECT 'temperature', count(*), count(DISTINCT city), CAST(sum(month) AS BIGINT) FROM temperature""",
 }

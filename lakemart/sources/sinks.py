@@ -19,6 +19,15 @@ from pyspark.sql import types as T
 from lakemart.sources.schemas import OUTPUT_TABLES, immigration_schema
 
 
+def default_writers(spark: SparkSession) -> int:
+    """Writing tasks if none are stated: the shuffle partitions of the session.
+
+    Not the cores seen by the driver: with dynamic allocation these are the few
+    that have registered so far.
+    """
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def write_table(
     df: DataFrame,
     path: str,

@@ -42,7 +42,7 @@ def _norm(v):
         return (0, "")
     if isinstance(v, float):
         if math.isnan(v):
-            return (0, "")
+            return (2, "")  # not the same as NULL
         return (1, repr(v + 0.0))
     if isinstance(v, (dt.date, dt.datetime)):
         return (1, v.isoformat())
