@@ -19,10 +19,15 @@ once, not once for each key.
 Join.  Within a component the sets are stored in a prefix tree over the global
 order.  A probe walks it level by level: the overlap up to a node is counted
 once for all sets below it, and a subtree is left as soon as the overlap plus
-the shingles remaining on either side can't reach the threshold.  Large
-components are cut into blocks, and each pair of blocks is one group.
+the shingles remaining on either side can't reach the threshold.
 
-Only a spanning set of links leaves a group, never all pairs.
+A large component is cut into blocks and joined in two passes.  First every
+block meets block 0, a set sample by hash: work that grows with the sets.
+Sets linked through it already are in one group, and pairs within a group need
+no comparison.  So the second pass walks only the sets outside the component's
+largest group, against all blocks but block 0, which they have met.
+
+Only a spanning set of links leaves a task's group, never all pairs.
 """
 
 from __future__ import annotations
@@ -326,28 +331,62 @@ def _tokens(k: int):
 
 
 def _join_group(t: Threshold):
+    """Links of a group's tree sets with its probes, or with each other in the group (part 0, probes 0)."""
     def run(table: pa.Table) -> pa.Table:
         sids = table.column("set_id").to_numpy()
-        block = table.column("block").to_numpy()
+        probes = table.column("is_probe").to_numpy(zero_copy_only=False)
         tokens = table.column("tokens").combine_chunks()
         flat = tokens.flatten().to_numpy().astype(U)
         offs = np.concatenate([[0], np.cumsum(tokens.value_lengths().to_numpy())])
-        sides: dict[int, dict[int, np.ndarray]] = {}
-        for i, (sid, b) in enumerate(zip(sids.tolist(), block.tolist())):
+        sides: tuple[dict[int, np.ndarray], dict[int, np.ndarray]] = {}, {}
+        for i, (sid, probe) in enumerate(zip(sids.tolist(), probes.tolist())):
             if offs[i + 1] > offs[i]:
-                sides.setdefault(b, {})[sid] = flat[offs[i]:offs[i + 1]]
-        pair = (table.column("lo")[0].as_py(), table.column("hi")[0].as_py())
-        left, right = sides.get(pair[0], {}), sides.get(pair[1], {})
-        names = [*left] if pair[0] == pair[1] else [*left, *right]
-        links = []
-        if left and right and len(names) > 1:
-            links = tree_links([*left.values()], None if pair[0] == pair[1] else [*right.values()], t)
+                sides[probe][sid] = flat[offs[i]:offs[i + 1]]
+        alone = table.column("part")[0].as_py() == table.column("probes")[0].as_py() == 0
+        left, right = sides
+        names, links = [*left, *right], []
+        if left and (len(left) > 1 if alone else right):
+            links = tree_links([*left.values()], None if alone else [*right.values()], t)
         return pa.table({"a": pa.array([names[i] for i, _ in links], pa.int64()),
                          "b": pa.array([names[j] for _, j in links], pa.int64())})
 
     return run
 
 
+def _groups(members: DataFrame, part, probes, is_probe: bool) -> DataFrame:
+    """Rows for the groups (component, part, probes); ``part`` or ``probes`` may be an array, a row for each."""
+    return members.select("component", part.alias("part"), probes.alias("probes"), F.lit(is_probe).alias("is_probe"),
+                          "set_id", "tokens")
+
+
+def _tree_joins(rows: DataFrame, t: Threshold, spark, name: str) -> DataFrame:
+    return stored(rows.groupBy("component", "part", "probes").applyInArrow(_join_group(t), "a long, b long"), spark, name)
+
+
+def _links(members: DataFrame, t: Threshold, spark) -> DataFrame:
+    """Links that span each component's groups; members: (component, set_id, blocks, block, tokens)."""
+    zero, others = F.lit(0), F.explode(F.expr("sequence(0, blocks - 1)"))
+    first = _tree_joins(_groups(members.where("block = 0"), zero, others, False)
+                        .unionAll(_groups(members.where("block > 0"), zero, F.col("block"), True)), t, spark, "links-first")
+
+    many = members.where("blocks > 1")
+    part_of = connected_components(first, spark).withColumnRenamed("component", "part_of")
+    placed = (many.select("component", "set_id", "block").join(part_of, F.col("set_id") == F.col("node"), "left")
+              .select("component", "set_id", "block", F.coalesce("part_of", "set_id").alias("part_of")))
+    largest = (placed.groupBy("component", "part_of").agg(F.count("*").alias("m"))
+               .groupBy("component").agg(F.max_by("part_of", F.struct("m", "part_of")).alias("largest")))
+    outside = placed.join(largest, "component").where("part_of <> largest AND block > 0").select("component", "set_id")
+    cut = outside.groupBy("component").agg(F.ceil(F.count("*") / BLOCK_SETS).cast("int").alias("cuts"))
+    still = stored(outside.join(cut, "component"), spark, "outside")
+    cut = still.select("component", "cuts").distinct()
+    later = many.where("block > 0")
+    probes = later.join(still.select("set_id", "cuts"), "set_id").withColumn("cut", F.pmod(F.xxhash64("set_id", F.lit(1)), F.col("cuts")).cast("int"))
+    second = _tree_joins(
+        _groups(later.join(cut, "component"), F.col("block"), F.explode(F.expr("sequence(0, cuts - 1)")), False)
+        .unionAll(_groups(probes, F.explode(F.expr("sequence(1, blocks - 1)")), F.col("cut"), True)), t, spark, "links-second")
+    return first.unionAll(second)
+
+
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3,
                      threshold: tuple[int, int] = (90, 100)) -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row of ``docs``.
@@ -385,12 +424,8 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
               .join(blocks_of, "component"))
     members = map_batches(chosen.join(texts, "doc_id").select("component", "set_id", "blocks", "text"), _tokens(k),
                           "component long, set_id long, blocks int, tokens array<long>")
-    block = F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int")
-    pairs = (members.withColumn("block", block)
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("component", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
-                     "block", "set_id", "tokens"))
-    links = pairs.groupBy("component", "lo", "hi").applyInArrow(_join_group(t), "a long, b long")
+    members = members.withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
+    links = _links(stored(members, spark, "members"), t, spark)
     groups = connected_components(links, spark)
 
     label = nodes.join(groups, nodes.set_id == groups.node, "left").select("set_id", "doc_id", "component")

@@ -77,6 +77,22 @@ def test_ngram_join_blocks_and_full_keys_give_the_same(spark, monkeypatch):
     assert sorted(map(tuple, ngram_join.ngram_components(_docs(spark, rows)).collect()), key=str) == one
 
 
+def test_ngram_join_second_pass_finds_what_block_0_misses(spark, monkeypatch):
+    """Two chains that link only nearby; a document between them shares keys but links with neither."""
+    words = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(words[i:i + 100])) for i in range(40)]
+    rows += [(100 + i, " ".join(words[200 + i:300 + i])) for i in range(15)]
+    rows += [(200, " ".join(words[10:50] + ["x"] * 10 + words[60:110])), (201, " ".join(words[20:120]))]
+    monkeypatch.setattr(ngram_join, "BLOCK_SETS", 2)
+    monkeypatch.setattr(ngram_join, "FULL_KEY", 1)
+    met = []
+    first = ngram_join._tree_joins
+    monkeypatch.setattr(ngram_join, "_tree_joins", lambda *a: met.append(first(*a)) or met[-1])
+    got = {r.doc_id: r.component_id for r in ngram_join.ngram_components(_docs(spark, rows)).collect()}
+    assert got == {i: 0 if i < 40 or i == 201 else 200 if i == 200 else 100 for i, _ in rows}
+    assert met[1].count() > 0
+
+
 def test_prefix_tree_links_equal_brute_force():
     rng = np.random.default_rng(3)
     t = ngram_join.Threshold(80, 100)
