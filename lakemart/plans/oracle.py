@@ -170,6 +170,15 @@ def _count_map(col: str) -> str:
         f"FROM trips WHERE {col} IS NOT NULL GROUP BY month, airport_cd, {col}")
 
 
+def _maps_long() -> str:
+    maps = [("gender", "gender"), ("trip_purpose", "trip_purpose"), ("visa_type", "visa_type"),
+            ("countries", "country_id"), ("airlines", "airline_cd")]
+    return _with(FACT) + "".join(
+        f"SELECT month, airport_cd, '{m}' AS measure, CAST({c} AS VARCHAR) AS key, count(*) AS n "
+        f"FROM trips WHERE {c} IS NOT NULL GROUP BY month, airport_cd, {c} UNION ALL " for m, c in maps) + (
+        "SELECT NULL, NULL, 'ids', NULL, count(*) FROM fact")
+
+
 _TRIP_COLUMNS = [("month", "int"), ("country_id", "int"), ("airport_cd", "string"), ("age", "int"),
                  ("trip_purpose", "string"), ("gender", "string"), ("airline_cd", "string"),
                  ("visa_type", "string"), ("length_of_stay", "int")]
@@ -274,6 +283,8 @@ FROM trips GROUP BY month, airport_cd""",
     "parquet_roundtrip": _with(TEMPERATURE) + "SELECT * FROM temperature",
     "parquet_roundtrip_fact": _with(FACT) + (
         "SELECT month, airport_cd, avg_stay, median_age, n_genders, n_countries FROM fact"),
+    "parquet_roundtrip_maps": _maps_long(),
+    "stream_refresh_maps": _maps_long(),
     "csv_roundtrip": "SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer",
     "stream_refresh": _with(FACT) + (
         "SELECT month, airport_cd, avg_stay, median_age, n_genders, n_countries FROM fact"),
