@@ -1,7 +1,7 @@
 """Vectorised word, line and shingle hashing over Arrow string columns.
 
 An Arrow string column holds all its rows' UTF-8 bytes in one buffer.  The
-functions here work on such a buffer in blocks of a few MB: words and lines
+functions here work on such a buffer in blocks of half a MB: words and lines
 are found with byte tables, and every word's 64-bit hash comes from one
 running polynomial sum over the block, so no Python object is made per word.
 
@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 U = np.uint64
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 19
 #: Bytes of a batch that map_batches hands on at once (or one row, if that is longer).
 SLICE_BYTES = 4 << 20
 
