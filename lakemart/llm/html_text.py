@@ -2,7 +2,7 @@
 
 A page becomes its sequence of leaf blocks: the text between two block-level
 tags.  A block's features are its ancestors' tags and name parts (class, id,
-role), and marks of its text: length, share of links, punctuation.  The chain
+role) at any depth, and marks of its text: length, share of links, punctuation.  The chain
 has two labels, main text or not, with weights for features and for steps
 between neighbours; it is trained on labelled pages that ``html_pages`` makes
 from a seed, and pages are decoded by Viterbi.
@@ -41,13 +41,31 @@ _ENDS = {"li": ({"li", "p"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd", "p"}, {"
 _SCOPE = frozenset("table td th button article section div main aside nav header footer form ul ol body blockquote".split())
 
 
+class Open:
+    """An open element: its tag, the names no element above it has, the nearest block's tag, and its parent."""
+
+    __slots__ = ("tag", "names", "block", "up")
+
+    def __init__(self, tag, names, block, up):
+        self.tag, self.names, self.block, self.up = tag, names, block, up
+
+
 class Leaf:
-    """A leaf block: its text, its ancestors' names, the characters in links, and a training label."""
+    """A leaf block: its text, the innermost open element, the characters in links, and a training label."""
+
+    __slots__ = ("text", "inside", "tag", "linked", "label")
 
-    __slots__ = ("text", "names", "tag", "linked", "label")
+    def __init__(self, text, inside, tag, linked, label):
+        self.text, self.inside, self.tag, self.linked, self.label = text, inside, tag, linked, label
 
-    def __init__(self, text, names, tag, linked, label):
-        self.text, self.names, self.tag, self.linked, self.label = text, names, tag, linked, label
+    @property
+    def names(self) -> set[str]:
+        """The names of all ancestors, however deep."""
+        out, e = set(), self.inside
+        while e is not None:
+            out.update(e.names)
+            e = e.up
+        return out
 
 
 def _open_names(tag: str, attributes: str) -> tuple[str, ...]:
@@ -63,7 +81,8 @@ def _open_names(tag: str, attributes: str) -> tuple[str, ...]:
 def leaves(page: str) -> list[Leaf]:
     """The page's leaf blocks with text, in order."""
     out: list[Leaf] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    stack: list[Open] = []
+    held: set[str] = set()  # the names of all open elements
     run: list[str] = []
     linked, label, at = 0, 0, 0
 
@@ -72,9 +91,8 @@ def leaves(page: str) -> list[Leaf]:
         if run:
             text = _SPACE.sub(" ", "".join(run)).strip(" ")
             if text:
-                names = {n for _, ns in stack[-24:] for n in ns}
-                tag = next((t for t, _ in reversed(stack) if t in _BLOCK), "")
-                out.append(Leaf(text, names, tag, min(linked, len(text)), label))
+                inside = stack[-1] if stack else None
+                out.append(Leaf(text, inside, inside.block if inside else "", min(linked, len(text)), label))
             run.clear()
         linked = 0
 
@@ -83,9 +101,20 @@ def leaves(page: str) -> list[Leaf]:
         if raw:
             text = html.unescape(raw) if "&" in raw else raw
             run.append(text)
-            if any(t == "a" for t, _ in stack):
+            if "<a" in held:
                 linked += len(text)
 
+    def push(tag, names):
+        up = stack[-1] if stack else None
+        own = [*dict.fromkeys(n for n in names if n not in held)]
+        held.update(own)
+        stack.append(Open(tag, own, tag if tag in _BLOCK else up.block if up else "", up))
+
+    def cut(i):
+        for e in stack[i:]:
+            held.difference_update(e.names)
+        del stack[i:]
+
     while at < len(page):
         m = _TOKEN.search(page, at)
         if m is None:
@@ -103,11 +132,11 @@ def leaves(page: str) -> list[Leaf]:
         if m[2]:
             if tag in _BLOCK:
                 close_block()
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    del stack[i:]
+            for i in range(len(stack) - 1, -1, -1) if "<" + tag in held else ():
+                if stack[i].tag == tag:
+                    cut(i)
                     break
-                if tag not in _BLOCK and stack[i][0] in _BLOCK:
+                if tag not in _BLOCK and stack[i].tag in _BLOCK:
                     break
             continue
         if tag in _SKIP and not m[4].endswith("/"):
@@ -118,25 +147,30 @@ def leaves(page: str) -> list[Leaf]:
             close_block()
             closes, stop = _ENDS.get(tag, ({"p"}, _SCOPE))
             while True:
-                i = next((j for j in range(len(stack) - 1, -1, -1) if stack[j][0] in closes or stack[j][0] in stop), -1)
-                if i < 0 or stack[i][0] not in closes:
+                i = next((j for j in range(len(stack) - 1, -1, -1) if stack[j].tag in closes or stack[j].tag in stop), -1)
+                if i < 0 or stack[i].tag not in closes:
                     break
-                del stack[i:]
+                cut(i)
         elif tag in ("br", "wbr"):
             run.append(" " if tag == "br" else "")
         if tag not in _VOID and not m[4].endswith("/"):
-            stack.append((tag, _open_names(tag, m[4])))
+            push(tag, _open_names(tag, m[4]))
     close_block()
     return out
 
 
 def describe(blocks: list[Leaf]) -> list[list[str]]:
     """Names of each block's features."""
+    return [[*b.names, *own] for b, own in zip(blocks, marks(blocks))]
+
+
+def marks(blocks: list[Leaf]) -> list[list[str]]:
+    """Names of each block's features beside its ancestors' names."""
     out = []
     for i, b in enumerate(blocks):
         words = b.text.count(" ") + 1
         share = b.linked / len(b.text)
-        out.append([*b.names, "tag=" + b.tag, f"words={min(6, words.bit_length())}", f"links={0 if not b.linked else 1 if share < 0.5 else 2}",
+        out.append(["tag=" + b.tag, f"words={min(6, words.bit_length())}", f"links={0 if not b.linked else 1 if share < 0.5 else 2}",
                     "end=" + ("." if b.text[-1] in ".!?…:;\"'”»)" else "-"), "bar" if "|" in b.text else "no-bar",
                     "©" if b.text[0] == "©" else "no-©", "first" if i == 0 else "last" if i == len(blocks) - 1 else "within", "bias"])
     return out
@@ -155,6 +189,21 @@ class Chain:
         get = self.weights.get
         return [sum([get(f, 0.0) for f in fs]) for fs in features]
 
+    def inherited(self, blocks: list[Leaf]) -> list[float]:
+        """Summed weights of each block's ancestor names; each element's sum is taken once, so depth costs no more."""
+        get, out = self.weights.get, []
+        sums: dict[Open | None, float] = {None: 0.0}
+        for b in blocks:
+            path, e = [], b.inside
+            while e not in sums:
+                path.append(e)
+                e = e.up
+            total = sums[e]
+            for e in reversed(path):
+                total = sums[e] = total + sum([get(n, 0.0) for n in e.names])
+            out.append(total)
+        return out
+
     def learn(self, features: list[list[str]], labels: list[int], rate: float = 0.3, decay: float = 1e-5) -> None:
         """One step up the log-likelihood of a page's labels (forward-backward)."""
         n, s = len(labels), self.scores(features)
@@ -182,13 +231,16 @@ class Chain:
             self._step_squares += g * g
             self.steps += 0.1 * g / np.sqrt(self._step_squares + 1e-3)
 
-    def decode(self, features: list[list[str]]) -> list[int]:
-        """The likeliest labels (Viterbi); ties go to 0."""
+    def decode(self, features: list[list[str]], inherited: list[float] | None = None) -> list[int]:
+        """The likeliest labels (Viterbi); ties go to 0.  Scores of features left out can be given beside them."""
         if not features:
             return []
+        scores = self.scores(features)
+        if inherited is not None:
+            scores = [a + b for a, b in zip(scores, inherited)]
         (a, b), (c, d) = self.steps.tolist()
         zero, one, back = 0.0, 0.0, []
-        for i, s in enumerate(self.scores(features)):
+        for i, s in enumerate(scores):
             if i == 0:
                 zero, one = 0.0, s
                 continue
@@ -220,7 +272,8 @@ def model(pages: int = PAGES, epochs: int = EPOCHS) -> Chain:
 
 def main_text(page: str, chain: Chain) -> str:
     blocks = leaves(page)
-    return "\n".join(b.text for b, keep in zip(blocks, chain.decode(describe(blocks))) if keep)
+    labels = chain.decode(marks(blocks), chain.inherited(blocks))
+    return "\n".join(b.text for b, keep in zip(blocks, labels) if keep)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -308,6 +308,23 @@ def test_html_text(spark, sf001):
         assert out[r.page_id] == "\n".join(x for x in parts if x)
 
 
+def test_html_text_names_of_all_ancestors():
+    chain = html_text.model()
+    deep = "".join(f"<ul><li><div><p>Reply {i}, a comment that some reader wrote here.</p>" for i in range(30))
+    text = "The first paragraph of the story, which is told in whole sentences."
+    page = f"<article><p>{text}</p></article><section class=comments>{deep}{'</div></li></ul>' * 30}</section>"
+    assert all({"<section", ".comments"} <= b.names for b in html_text.leaves(page)[1:])
+    assert html_text.main_text(page, chain) == text
+    inner = "<article><h1>Title</h1>" + "<div>" * 40 + f"<p>{text}</p>" + "</div>" * 40 + "</article>"
+    for b in html_text.leaves(inner):
+        assert "<article" in b.names and not b.names & {".comments"}
+    assert html_text.main_text(f"<nav><a href=/>Home</a></nav>{inner}<footer>&copy; x</footer>", chain) == f"Title\n{text}"
+    blocks = html_text.leaves(page)
+    assert chain.decode(html_text.describe(blocks)) == chain.decode(html_text.marks(blocks), chain.inherited(blocks))
+    wide = "".join(f"<div class=u{i}>word {i}" for i in range(20_000))  # names in all 20,000 squared / 2
+    assert len(html_text.leaves(wide)) == 20_000 and len(html_text.main_text(wide, chain)) >= 0
+
+
 def test_warc_round_trip(spark, tmp_path):
     rows = [(5, "u5", "same é"), (3, "u3", "same é"), (9, None, None), (2, "a b", ""), (7, "u", "x" * 100_000), (None, "n", "same é"),
             (None, "n", "alone"), (3, "u3", "same é"), (11, "u", "other")]
