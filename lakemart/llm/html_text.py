@@ -13,6 +13,7 @@ from __future__ import annotations
 import html
 import random
 import re
+from collections import Counter
 from functools import lru_cache
 
 import numpy as np
@@ -29,8 +30,13 @@ _TOKEN = re.compile(r"<!--(.*?)(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+
                     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
 _NAMES = re.compile(r"""(?<![\w-])(?:class|id|role)\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++))""", re.I)
 _SPACE = re.compile(r"[ \t\n\r\f\v   -     　\u0085]+")
-#: Contents of these elements are no text of the page.
-_SKIP = frozenset("script style noscript template textarea title svg math iframe object audio video canvas select datalist".split())
+#: Contents of these elements are no text of the page.  Raw ones have no tags inside and, left open, go on to the
+#: page's end; the others hold tags, and left open they end with their parent or at a block's tag.
+_RAW = frozenset("script style textarea title iframe".split())
+_HIDDEN = frozenset("noscript template svg object audio video canvas select datalist".split())
+_ANY_HIDDEN = re.compile(rf"<(?:{'|'.join(sorted(_HIDDEN))})(?=[\s/>])", re.I)
+_NOSCRIPT = re.compile(r"<(/?)noscript(?=[\s/>])[^>]*+>", re.I)
+_RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*+>", re.I) for t in _RAW}
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset(("address article aside blockquote body button center dd details dialog dir div dl dt fieldset figcaption figure footer "
                     "form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre search section "
@@ -78,6 +84,43 @@ def _open_names(tag: str, attributes: str) -> tuple[str, ...]:
     return tuple(names)
 
 
+def _hidden_ends(page: str) -> dict[int, int]:
+    """Where each hidden element that has an end tag of its own ends, by its start; the others were left open."""
+    found: dict[int, int] = {}
+    if not _ANY_HIDDEN.search(page):
+        return found
+    stack: list[tuple[str, int]] = []
+    held, at = Counter(), 0
+    while m := _TOKEN.search(page, at):
+        at = m.end()
+        if m[3] is None:
+            continue
+        tag = m[3].lower()
+        if m[2]:
+            if not held[tag]:
+                continue
+            for i in range(len(stack) - 1, -1, -1):
+                if stack[i][0] == tag:
+                    if tag in _HIDDEN:
+                        found[stack[i][1]] = at
+                    held.subtract(t for t, _ in stack[i:])
+                    del stack[i:]
+                    break
+                if tag not in _BLOCK and tag not in _HIDDEN and stack[i][0] in _BLOCK and stack[i][0] != "option":
+                    break
+        elif m[4].endswith("/") or tag in _VOID:
+            continue
+        elif tag in _RAW and not held["svg"]:
+            end = _RAW_END[tag].search(page, at)
+            at = end.end() if end else len(page)
+        elif tag == "noscript" and (end := _NOSCRIPT.search(page, at)) and end[1]:
+            at = found[m.start()] = end.end()
+        else:
+            stack.append((tag, m.start()))
+            held[tag] += 1
+    return found
+
+
 def leaves(page: str) -> list[Leaf]:
     """The page's leaf blocks with text, in order."""
     out: list[Leaf] = []
@@ -85,6 +128,7 @@ def leaves(page: str) -> list[Leaf]:
     held: set[str] = set()  # the names of all open elements
     run: list[str] = []
     linked, label, at = 0, 0, 0
+    ends, muted = _hidden_ends(page), None  # muted: the place in the stack of a hidden element that was left open
 
     def close_block():
         nonlocal linked
@@ -98,7 +142,7 @@ def leaves(page: str) -> list[Leaf]:
 
     def add(raw):
         nonlocal linked
-        if raw:
+        if raw and muted is None:
             text = html.unescape(raw) if "&" in raw else raw
             run.append(text)
             if "<a" in held:
@@ -111,6 +155,9 @@ def leaves(page: str) -> list[Leaf]:
         stack.append(Open(tag, own, tag if tag in _BLOCK else up.block if up else "", up))
 
     def cut(i):
+        nonlocal muted
+        if muted is not None and i <= muted:
+            muted = None
         for e in stack[i:]:
             held.difference_update(e.names)
         del stack[i:]
@@ -129,8 +176,10 @@ def leaves(page: str) -> list[Leaf]:
                 label = int(m[1] == "L1")
             continue
         tag = tag.lower()
+        if muted is not None and tag in _BLOCK and not (tag == "option" and stack[muted].tag in ("select", "datalist")):
+            cut(muted)
         if m[2]:
-            if tag in _BLOCK:
+            if tag in _BLOCK and muted is None:
                 close_block()
             for i in range(len(stack) - 1, -1, -1) if "<" + tag in held else ():
                 if stack[i].tag == tag:
@@ -139,11 +188,19 @@ def leaves(page: str) -> list[Leaf]:
                 if tag not in _BLOCK and stack[i].tag in _BLOCK:
                     break
             continue
-        if tag in _SKIP and not m[4].endswith("/"):
-            end = re.compile(rf"</{tag}(?=[\s/>])[^>]*+>", re.I).search(page, at)
+        if tag in _RAW and not m[4].endswith("/") and "<svg" not in held:
+            end = _RAW_END[tag].search(page, at)
             at = end.end() if end else len(page)
             continue
-        if tag in _BLOCK:
+        if tag in _HIDDEN and not m[4].endswith("/"):
+            if m.start() in ends:
+                at = ends[m.start()]
+                continue
+            if muted is None:
+                muted = len(stack)
+        elif muted is not None and tag in _BLOCK:
+            continue  # an option of a list
+        elif tag in _BLOCK:
             close_block()
             closes, stop = _ENDS.get(tag, ({"p"}, _SCOPE))
             while True:
@@ -282,7 +339,9 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     Nulls: a null html has the empty text; null ids and urls are carried
     along.  Repeated rows give a row each; other columns are left aside; an
     empty table gives no rows; a page without main text has the empty text.
-    Pages are read whole, and broken markup is read as far as it goes.
+    Pages are read whole, and broken markup is read as far as it goes.  What is
+    in scripts, styles, titles, text areas, frames, noscript, templates, svg,
+    media and lists of options is no text; formulas (math) are.
     """
     sent = pages.sparkSession.sparkContext.broadcast(model())
 

@@ -325,6 +325,32 @@ def test_html_text_names_of_all_ancestors():
     assert len(html_text.leaves(wide)) == 20_000 and len(html_text.main_text(wide, chain)) >= 0
 
 
+@pytest.mark.parametrize("tag", "svg noscript select video audio canvas object template datalist".split())
+def test_html_text_elements_left_open(tag):
+    read = lambda page: [b.text for b in html_text.leaves(page)]
+    story = "<article><p>One.</p><p>Two.</p></article>"
+    inside = "<option>a<option>b" if tag in ("select", "datalist") else "not shown <i>nor this</i>"
+    for before, after in ((f"<div><{tag} class=x>{inside}", "</div>"), (f"<div><{tag}>{inside}</div>", ""), (f"<a href=/><{tag}>{inside}</a>", "")):
+        assert read(f"<body>{before}{story}{after}</body>") == ["One.", "Two."]
+        # a later element of the kind has its own end tag
+        assert read(f"<body>{before}{story}{after}<p>x<{tag}>{inside}</{tag}>y</p>") == ["One.", "Two.", "xy"]
+    assert read(f"<p>a<{tag}>{inside}</{tag}>b <b><{tag}>{inside}</b> c") == ["ab c"]
+    assert read(f"<div>a<{tag}>z<{tag}>{inside}</{tag}>{story}</div>") == ["a", "One.", "Two."]
+    assert read(f"<div><{tag}><p>Fallback</p><div>more</div></{tag}>shown</div>") == ["shown"]
+    many = f"<div><{tag}>" * 5_000 + story
+    assert read(many) == ["One.", "Two."]
+
+
+def test_html_text_raw_elements_and_formulas():
+    read = lambda page: [b.text for b in html_text.leaves(page)]
+    for tag in ("script", "style", "textarea", "title"):
+        assert read(f"<p>a<{tag}><p>no</p></{tag}>b</p><p>c<{tag}>d</p><p>e") == ["ab", "c"]
+    assert read("<p>So <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds.</p>") == ["So x=1 holds."]
+    assert read("<svg><title>Icon<path d=x></svg><p>Text</p><svg><title>t</title></svg><svg><style>a{}<p>Last") == ["Text", "Last"]
+    assert read("<noscript><iframe src=x></noscript><p>Text</p><iframe>i</iframe>") == ["Text"]
+    assert read("<!-- <svg> --><script>'<svg>'</script><p>Text</p>") == ["Text"]
+
+
 def test_warc_round_trip(spark, tmp_path):
     rows = [(5, "u5", "same é"), (3, "u3", "same é"), (9, None, None), (2, "a b", ""), (7, "u", "x" * 100_000), (None, "n", "same é"),
             (None, "n", "alone"), (3, "u3", "same é"), (11, "u", "other")]
