@@ -28,7 +28,7 @@ KINDS = ("email", "ip", "card", "phone")
 #: Labelled examples made for training, and the precision asked of each kind.
 EXAMPLES, PRECISION = 6000, 0.98
 
-_SIGN = re.compile(r"[0-9@]|\[at\]|\(at\)")
+_SIGN = re.compile(r"[0-9@]")  # in every span of the fixed formats
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
@@ -90,10 +90,14 @@ _CUES = {"email": ("mail", "contact", "write", "reach", "correo"), "ip": ("ip",
                    "section", "total", "token", "chapter", "sku")}
 
 
+#: What every match of a kind's generator has in it.
+_NEEDS = {kind: re.compile(r"@|[\[({]at[\])}]| at " if kind == "email" else "[0-9]") for kind in KINDS}
+
+
 def candidates(text: str) -> list[tuple[str, int, int]]:
     out = []
     for kind, pattern in _GENERATORS:
-        if kind != "email" or "@" in text or "[at]" in text or "(at)" in text or "{at}" in text or " at " in text:
+        if _NEEDS[kind].search(text):
             out += [(kind, *m.span()) for m in pattern.finditer(text)]
     return out
 
@@ -261,11 +265,10 @@ def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         base = [base_spans(t) if _SIGN.search(t) else [] for t in texts]
         offered = []
         for i, t in enumerate(texts):
-            if _SIGN.search(t) or " dot " in t:
-                taken = sorted((a, b) for _, a, b in base[i])
-                for kind, a, b in candidates(t):
-                    if all(b <= lo or a >= hi for lo, hi in taken):
-                        offered.append((i, kind, a, b))
+            taken = sorted((a, b) for _, a, b in base[i])
+            for kind, a, b in candidates(t):
+                if all(b <= lo or a >= hi for lo, hi in taken):
+                    offered.append((i, kind, a, b))
         spans = [list(b) for b in base]
         if offered:
             score = trees.predict(np.array([describe(texts[i], k, a, b) for i, k, a, b in offered]))

@@ -291,6 +291,17 @@ def test_pii_added_spans():
         assert trees.predict(np.array([pii.describe(text, kind, a, a + len(span))]))[0] >= limits[kind]
 
 
+def test_pii_spans_need_no_digit(spark):
+    forms = [(a, d) for a in ("[at]", "(at)", "{at}", " [at] ", " {at} ", " at ", " @ ") for d in ("[dot]", "(dot)", "{dot}", " [dot] ", " {dot} ", " dot ", ".")]
+    texts = [f"please mail anna{at}example{dot}org, we answer every letter that comes in from anywhere" for at, dot in forms]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(100 + i, t + " within 3 days") for i, t in enumerate(texts)]
+    got = {r.doc_id: r.spans for r in pii.find_spans(_docs(spark, rows)).collect()}
+    assert [t for i, t in enumerate(texts) if got[i] != got[100 + i]] == []
+    assert got[forms.index((" {at} ", " {dot} "))] == "email:12:39"
+    pattern = dict(pii._GENERATORS)["email"]
+    assert all(pattern.search(t) and pii.candidates(t) for t in texts)
+
+
 def test_html_text(spark, sf001):
     import html as H
     page = ("<html><head><title>t</title><script>var a='<p>no</p>'</script></head><body><nav><ul><li><a href=/x>Menu</a></li></ul></nav>"
