@@ -230,6 +230,23 @@ def test_quality_rules_lines_and_labels(spark, sf001):
     assert not any(r.kept for r in both if r.quality == 0)
 
 
+def test_quality_rules_marks_of_other_scripts(spark):
+    prose = {"hi": ("यह एक लंबा वाक्य है", "।"), "ar": ("هذه جملة طويلة جدا هنا", "،"), "ur": ("یہ ایک لمبا جملہ ہے", "۔"), "fa": ("آیا این جمله بلند است", "؟"),
+             "am": ("ይህ ረጅም ዓረፍተ ነገር ነው", "።"), "hy": ("սա երկար նախադասություն է այստեղ", "։"), "ko": ("이것은 긴 문장 입니다 여기", "。"), "my": ("ဒါက ရှည်လျားတဲ့ ဝါကျ တစ်ခု ဖြစ်တယ်", "။"),
+             "km": ("នេះ ជា ប្រយោគ វែង មួយ", "។"), "bo": ("འདི ནི ཚིག རིང་པོ ཡིན", "།"), "zh": ("这 是 一个 长 句子", "，"), "en": ("and so it went on", "…"), "chakma": ("a b c d e", "\U00011141")}
+    lines = [(i, lang, " ".join([words] * 3 + [words + mark])) for i, (lang, (words, mark)) in enumerate(sorted(prose.items()))]
+    rows = [(i, "\n".join(t + f" {n}" for n in range(6))) for i, _, t in lines] + [(100 + i, t.replace(prose[lang][1], "")) for i, lang, t in lines]
+    got = {r.doc_id: (r.n_bad_lines, r.lost_words) for r in quality_rules.judge(_docs(spark, rows)).collect()}
+    assert {lang: got[i] for i, lang, _ in lines} == {lang: (0, 0) for _, lang, _ in lines}
+    assert all(got[100 + i][0] == 1 for i, _, _ in lines)  # without the mark the line still fails
+    # a mark counts for its own line only, also where lines and texts are neighbours
+    bare = " ".join(["wörter"] * 20)
+    near = [(1, bare + "\n" + bare + "।\n" + bare), (2, "।"), (3, bare), (4, "")]
+    assert {r.doc_id: r.n_bad_lines for r in quality_rules.judge(_docs(spark, near)).collect()} == {1: 2, 2: 0, 3: 1, 4: 0}
+    kept = " ".join(f"शब्द{i}" for i in range(30)) + " अंत।\n" + " ".join(f"बात{i}" for i in range(30)) + " अंत।"
+    assert [r.text for r in quality_rules.clean(_docs(spark, [(1, kept)])).collect()] == [kept]
+
+
 def test_quality_model_held_out_accuracy(spark, sf01):
     docs, labels = (spark.read.parquet(f"{sf01}/{t}.parquet") for t in ("documents", "labels"))
     rows = quality_model.score(docs, quality_model.train(docs, labels)).join(labels, "doc_id").where("held_out").collect()
