@@ -51,17 +51,6 @@ def exact_median(c: ColumnOrName, empty: str = "nan") -> Column:
     return _empty_median(med, empty)
 
 
-def approx_median(c: ColumnOrName, accuracy: int = 10000) -> Column:
-    """A3, scale option: ``percentile_approx(c, 0.5, accuracy)``.
-
-    A fixed-size sketch per group instead of one counter per distinct value,
-    for high-cardinality measures.  Returns an actual input value (the lower
-    middle for an even count, no interpolation); exact while a group holds
-    fewer values than ``accuracy``.
-    """
-    return F.percentile_approx(_col(c), 0.5, accuracy)
-
-
 def distinct_median(c: ColumnOrName, empty: str = "nan") -> Column:
     """Exact median of the *distinct* non-NULL values of ``c`` in a group.
 
@@ -209,6 +198,30 @@ def explode_map(df: DataFrame, keys: Sequence[str], map_col: str,
     return (df.select(*keys, F.explode(F.col(map_col)).alias(key_name, value_name)))
 
 
+def lower_median(df: DataFrame, keys: Sequence[str], column: str, out: str | None = None) -> DataFrame:
+    """A3, scale option: keys + the exact lower median of ``column`` (``percentile_disc(0.5)``).
+
+    An actual input value in the column's own type: the middle one, for an
+    even count the lower of the two; NULLs ignored, all-NULL -> NULL.  Values
+    are counted first (map-side combine), so a hot group is spread over the
+    tasks and its state is bounded by its distinct values, whatever its rows.
+    """
+    value = F.col("__value")
+    counted = (df.select(*keys, _col(column).alias("__value"))
+               .groupBy(*keys, "__value").agg(F.count(F.lit(1)).alias("__n")))
+    pairs = F.collect_list(F.when(value.isNotNull(), F.struct(value.alias("value"), F.col("__n").alias("n"))))
+    grouped = counted.groupBy(*keys).agg(
+        F.array_sort(pairs).alias("__pairs"), F.sum(F.when(value.isNotNull(), F.col("__n"))).alias("__total"))
+    nothing = F.struct(F.lit(0).cast("bigint").alias("seen"), F.lit(None).cast(counted.schema["__value"].dataType).alias("value"))
+
+    def step(acc: Column, pair: Column) -> Column:
+        seen = acc["seen"] + pair["n"]
+        here = (acc["seen"] * 2 < F.col("__total")) & (seen * 2 >= F.col("__total"))
+        return F.struct(seen.alias("seen"), F.when(here, pair["value"]).otherwise(acc["value"]).alias("value"))
+
+    return grouped.select(*keys, F.aggregate("__pairs", nothing, step, lambda acc: acc["value"]).alias(out or column))
+
+
 # --- pivot (A6, A11, A12, C1, C2) ----------------------------------------------------------
 
 def pivot_agg(

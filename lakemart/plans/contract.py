@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from lakemart.functions import columns as X
 from lakemart.operators import quality as Q
-from lakemart.operators.aggregates import (approx_median, count_map, explode_map, exact_median, pivot_agg,
+from lakemart.operators.aggregates import (count_map, explode_map, exact_median, lower_median, pivot_agg,
                                            pivot_sum, rounded_mean, row_count)
 from lakemart.operators.joins import join_measures, snowflake
 from lakemart.operators.setops import union_all
@@ -207,7 +207,7 @@ def q_median_age(spark, d):
 
 
 def q_approx_median_age(spark, d):
-    return trips(spark, d).groupBy(*KEYS).agg(approx_median("age").alias("approx_median_age"))
+    return lower_median(trips(spark, d), KEYS, "age", "approx_median_age")
 
 
 def _count_map_query(map_col):

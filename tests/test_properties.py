@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakemart.operators import quality as Q
-from lakemart.operators.aggregates import grouped_measures
+from lakemart.operators.aggregates import grouped_measures, lower_median
 from lakemart.operators.joins import join_measures, unique_by
 from lakemart.plans import builders as B
 from lakemart.plans import contract as C
@@ -30,6 +30,18 @@ def test_fact_keys_and_ids_unique(spark, sf001):
     assert fact.select("immigration_id").distinct().count() == n
 
 
+def test_lower_median_is_exact_in_large_groups(spark):
+    n = 60_000  # more values in a group than the former sketch kept apart (10,000)
+    big = spark.range(n).select(F.lit("hot").alias("k"), (F.col("id") * 7919 % n * (F.col("id") * 7919 % n)).alias("v"))
+    small = spark.createDataFrame([("even", 4), ("even", 1), ("even", 2), ("even", 2), ("odd", 3), ("odd", None), ("none", None), (None, 2**62 + 1)], "k string, v long")
+    got = lower_median(big.unionAll(small), ["k"], "v", "med")
+    assert got.schema["med"].dataType.typeName() == "long"
+    want = sorted((i * 7919 % n) ** 2 for i in range(n))[(n - 1) // 2]
+    assert {r.k: r.med for r in got.collect()} == {"hot": want, "even": 2, "odd": 3, "none": None, None: 2**62 + 1}
+    approx = big.agg(F.percentile_approx("v", 0.5, 10000)).first()[0]
+    assert approx != want
+
+
 def test_stable_ids(spark, sf001):
     fact = B.build_immigration(C.trips(spark, sf001), stable_id=True)
     a = {(r.month, r.airport_cd): r.immigration_id for r in fact.collect()}
