@@ -194,26 +194,39 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     doc_id.  Repeated document rows give a row each, repeated items one.
     Other columns are left aside.  Empty tables give no rows.
     """
+    return _matches(docs, benchmark, id_col, text_col, item_id, item_text, k, similarity, item_block).drop("mark")
+
+
+def _matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+             item_id: str = "item_id", item_text: str = "text", k: int = 5, similarity: float = 0.8,
+             item_block: int = 5000) -> DataFrame:
+    """The rows of contaminated with ``mark``, the hash of the document's text."""
     spark: SparkSession = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    schema = "doc_id long, item_id long, similarity double, first_word long, last_word long"
+    texts = texts.withColumn("mark", F.xxhash64("text"))
+    schema = "doc_id long, mark long, item_id long, similarity double, first_word long, last_word long"
     out = spark.createDataFrame([], schema)
     for rows in _item_blocks(benchmark, item_id, item_text, item_block):
         sent = spark.sparkContext.broadcast(Items(sorted(rows), k))
 
         def search(batch, sent=sent):
-            ids = batch.column("doc_id").to_pylist()
+            ids, marks = batch.column("doc_id").to_pylist(), batch.column("mark").to_pylist()
             for block in blocks(batch.column("text"), lower=True):
                 if got := list(scan(block, sent.value, similarity)):
                     row, item, value, lo, hi = zip(*got)
-                    yield {"doc_id": [ids[r] for r in row], "item_id": list(item), "similarity": list(value),
+                    yield {"doc_id": [ids[r] for r in row], "mark": [marks[r] for r in row], "item_id": list(item), "similarity": list(value),
                            "first_word": list(lo), "last_word": list(hi)}
 
         out = out.unionAll(map_batches(texts, search, schema))
     return out
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` whose id has no match in the benchmark; rows without id stay."""
-    bad = contaminated(docs, benchmark, id_col, **options).select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(bad, id_col, "left_anti")
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` whose text has no match in the benchmark, also those without id.
+
+    Rows go by id and text: another text of the same id stays.
+    """
+    bad = (_matches(docs, benchmark, id_col, text_col, **options)
+           .select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark")).distinct())
+    return docs.join(bad, F.col(id_col).cast("long").eqNullSafe(F.col("__id"))
+                     & (F.xxhash64(F.col(text_col).cast("string")) == F.col("__mark")), "left_anti")

@@ -267,7 +267,7 @@ def _describe(k: int, t: Threshold):
             sketches.append(sketch(tokens) if sid is not None else None)
             keys.append(own)
             counts.append(len(own))
-        yield {"doc_id": batch.column("doc_id"), "n_shingles": sizes, "set_id": sids, "sketch": sketches,
+        yield {"doc_id": batch.column("doc_id"), "mark": batch.column("mark"), "n_shingles": sizes, "set_id": sids, "sketch": sketches,
                "keys": list_column(np.concatenate(keys), np.array(counts))}
 
     return rows
@@ -401,9 +401,15 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     columns of ``docs`` are left aside whatever their names.  An empty table
     gives no rows.  Texts are taken whole, however long.
     """
+    return _components(docs, id_col, text_col, k, threshold).select("doc_id", "n_shingles", "component_id")
+
+
+def _components(docs: DataFrame, id_col: str, text_col: str, k: int, threshold: tuple[int, int]) -> DataFrame:
+    """The rows of ngram_components with ``mark``, the hash of the row's text."""
     spark, t = docs.sparkSession, Threshold(*threshold)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    sets = stored(map_batches(texts, _describe(k, t), "doc_id long, n_shingles long, set_id long, sketch binary, keys array<long>"),
+    sets = stored(map_batches(texts.withColumn("mark", F.xxhash64("text")), _describe(k, t),
+                              "doc_id long, mark long, n_shingles long, set_id long, sketch binary, keys array<long>"),
                   spark, "sets")
     nodes = stored(sets.where("set_id IS NOT NULL").groupBy("set_id")
                    .agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n"), F.first("sketch").alias("sketch")),
@@ -431,8 +437,8 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     label = nodes.join(groups, nodes.set_id == groups.node, "left").select("set_id", "doc_id", "component")
     least = label.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("least"))
     named = label.join(least, "component", "left").select("set_id", F.coalesce("least", "doc_id").alias("component_id"))
-    return (sets.select("doc_id", "n_shingles", "set_id").join(named, "set_id", "left")
-            .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
+    return (sets.select("doc_id", "mark", "n_shingles", "set_id").join(named, "set_id", "left")
+            .select("doc_id", "mark", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
@@ -440,7 +446,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     """The rows of ``docs`` that stay: of each group of linked rows the one with the least id.
 
     Rows without id stay.  Of repeated rows with the group's least id, all stay.
+    Rows go by id and text: where an id has several texts, each is judged by
+    its own group.
     """
-    groups = ngram_components(docs, id_col, text_col, k, threshold)
-    out = groups.where("doc_id <> component_id").select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(out, id_col, "left_anti")
+    out = (_components(docs, id_col, text_col, k, threshold).where("doc_id <> component_id")
+           .select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark")).distinct())
+    return docs.join(out, (F.col(id_col).cast("long") == F.col("__id"))
+                     & (F.xxhash64(F.col(text_col).cast("string")) == F.col("__mark")), "left_anti")

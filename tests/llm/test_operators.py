@@ -187,6 +187,19 @@ def test_decontamination_matches_every_window(spark):
     assert (102, 20, 1.0) in want and len(want) >= 8
 
 
+def test_rows_of_one_id_go_by_their_own_text(spark):
+    rng = random.Random(12)
+    text = lambda: " ".join(f"w{rng.randint(0, 5000)}" for _ in range(60))
+    a, b, c, item = text(), text(), text(), text()
+    rows = [(3, b), (5, a), (5, b), (7, a), (9, c), (9, a), (None, a), (None, None), (5, None), (5, "")]
+    got = sorted(((r.doc_id, r.text) for r in ngram_join.keep_one(_docs(spark, rows)).collect()), key=str)
+    assert got == sorted([(3, b), (5, a), (9, c), (None, a), (None, None), (5, None), (5, "")], key=str)
+    rows = [(1, a), (1, "lead " + item), (2, b), (None, c), (None, item + " tail"), (4, None), (None, None)]
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = sorted(((r.doc_id, r.text) for r in decontaminate.drop_contaminated(_docs(spark, rows), bench).collect()), key=str)
+    assert got == sorted([(1, a), (2, b), (None, c), (4, None), (None, None)], key=str)
+
+
 def test_multi_index_finds_all_within_the_radius():
     rng = np.random.default_rng(1)
     sized = decontaminate.Sized(9, 5)
