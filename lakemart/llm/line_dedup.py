@@ -1,11 +1,12 @@
-"""Line deduplication by winnowing over line hashes (operator 10).
+"""Line deduplication by windows over line hashes (operator 10).
 
 A line is the text between \\n; lines without a word are passed over.  A
 window is the shortest run of lines of at least ``min_words`` words that
-starts, or that ends, at some line.  Each window's least line hash is its
-fingerprint: equal runs select equal minima, so any two runs of that length
-that are equal share fingerprints.  Positions are joined on the fingerprint
-and the hash of the window's contents.  A window that an earlier position has
+starts, or that ends, at some line.  All windows are kept and joined on the
+hash of their contents; unlike winnowing, which keeps the positions of least
+hashes only and extends each match, nothing is selected (the least line hash
+in the key is implied by the contents) and no pair of positions is made, which
+for a run that stands in many texts would grow with their square.  A window that an earlier position has
 as well is a later copy; windows that start at a line carry a match on from
 its beginning and windows that end at a line carry it to its end, so their
 union is the repeated run at full length.  Earlier: the smaller id, within a
