@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakemart.llm import bpe, decontaminate, html_text, license_scan, line_dedup, ngram_join, pii, quality_model, quality_rules, warc
+from lakemart.llm import (bpe, chat_format, decontaminate, html_text, license_scan, line_dedup, ngram_join, pii,
+                          quality_model, quality_rules, warc)
 from lakemart.session import scratch_dir
 
 
@@ -75,6 +76,14 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(_table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
 
 
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation formatted, encoded and masked, then read back."""
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    fixed = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-7, 0, "user", fixed), (-7, 1, "assistant", fixed)], rows.schema)
+    return chat_format.read_back(chat_format.format_conversations(rows.unionAll(more), *tokenizer()))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_html_text": op2_html_text,
@@ -86,6 +95,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_license_scan": op9_license_scan,
     "op10_line_dedup": op10_line_dedup,
+    "op11_chat_format": op11_chat_format,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op11_chat_format": chat_format.oracle_sql(),
+}
