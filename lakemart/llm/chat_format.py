@@ -72,8 +72,12 @@ class Template:
     def _found(self) -> re.Pattern:
         return re.compile(r"\\|(?=%s)." % "|".join(map(re.escape, (*self.controls, *self.reserved))), re.S)
 
+    @cached_property
+    def _starts(self) -> frozenset[str]:
+        return frozenset(c[0] for c in ("\\", *self.controls, *self.reserved))
+
     def escape(self, s: str) -> str:
-        return self._found.sub(lambda m: m[0] + "\\", s)
+        return self._found.sub(lambda m: m[0] + "\\", s) if any(c in s for c in self._starts) else s
 
     @staticmethod
     def unescape(s: str) -> str:
@@ -151,7 +155,22 @@ def _rows(batches) -> Iterator[dict]:
             yield from batch.slice(at, step).to_pylist()
 
 
-def format_conversations(rows: DataFrame, ranks: bytes, pattern: str, template: Template = Template()) -> DataFrame:
+def _pieces(batches) -> Iterator[dict]:
+    """The rows of ``format_conversations``; ends and labels as arrays."""
+    for batch in batches:
+        lists = {}
+        for c in ("ends", "labels"):
+            column = batch.column(c)
+            lists[c] = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
+        columns = [batch.column(c) for c in ("conv_id", "turn", "tie", "seq", "formatted")]
+        for i in range(batch.num_rows):
+            conv, turn, tie, seq, formatted = (c[i].as_py() for c in columns)
+            yield {"conv_id": conv, "turn": turn, "tie": tie, "seq": seq, "formatted": formatted,
+                   **{c: values[at[i]:at[i + 1]] for c, (at, values) in lists.items()}}
+
+
+def format_conversations(rows: DataFrame, ranks: bytes, pattern: str, template: Template = Template(),
+                         piece_chars: int = PIECE_CHARS) -> DataFrame:
     """Runs of rendered and encoded turns for the rows (conv_id, turn, role, text).
 
     Each output row has a run of turns of one conversation: the ``formatted``
@@ -194,7 +213,7 @@ def format_conversations(rows: DataFrame, ranks: bytes, pattern: str, template:
         ready, ready_bytes = [], 0
         for r in _rows(batches):
             n = len(r["text"] or "") + len(r["role"] or "")
-            if held and (r["conv_id"] != head["conv_id"] or size + n > PIECE_CHARS):
+            if held and (r["conv_id"] != head["conv_id"] or size + n > piece_chars):
                 ready.append(piece())
                 ready_bytes += ready[-1].nbytes
                 held, size, seq = [], 0, seq + 1
@@ -248,7 +267,7 @@ def _batched(rows: Iterator[dict], schema: pa.Schema, size=lambda r: 200) -> Ite
         yield pa.RecordBatch.from_pylist(held, schema)
 
 
-def _parts(pieces: Iterator[dict], template: Template) -> Iterator[dict]:
+def _parts(pieces: Iterator[dict], template: Template, hold_bytes: int) -> Iterator[dict]:
     """What was read from the pieces: digests of conversations that surely lie in this partition, else their bytes."""
     held, size, whole, last = [], 0, False, None
 
@@ -267,12 +286,12 @@ def _parts(pieces: Iterator[dict], template: Template) -> Iterator[dict]:
             held, size, whole = [], 0, last is not None
             last = (p["conv_id"],)
         turns = template.parse(p["formatted"])
-        loss = loss_text(p["formatted"].encode(), np.array(p["ends"], np.int64), np.array(p["labels"], np.int64), template)
+        loss = loss_text(p["formatted"].encode(), p["ends"], p["labels"], template)
         held.append({"conv_id": p["conv_id"], "turn": p["turn"], "tie": p["tie"], "seq": p["seq"], "n_turns": len(turns),
                      "loss_chars": len(loss), "formatted_chars": len(p["formatted"]), "loss": loss.encode(),
                      "turns": "".join(f"{role}\n{text}\n" for role, text in turns).encode()})
         size += len(held[-1]["turns"]) + len(held[-1]["loss"])
-        if size > HOLD_BYTES:
+        if size > hold_bytes:
             yield from held
             held, size, whole = [], 0, False
     yield from held  # the last one may go on in another partition
@@ -302,7 +321,7 @@ def _joined(parts: Iterator[dict]) -> Iterator[dict]:
         yield row()
 
 
-def read_back(pieces: DataFrame, template: Template = Template()) -> DataFrame:
+def read_back(pieces: DataFrame, template: Template = Template(), hold_bytes: int = HOLD_BYTES) -> DataFrame:
     """Per conversation what its formatted text, offsets and labels say, from ``format_conversations``'s rows.
 
     (conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars).
@@ -314,7 +333,7 @@ def read_back(pieces: DataFrame, template: Template = Template()) -> DataFrame:
     empty table gives no rows.
     """
     parts = pieces.mapInArrow(lambda batches: _batched(
-        _parts(_rows(batches), template), _PART, lambda r: 200 + len(r["turns"] or b"") + len(r["loss"] or b"")), _PART_DDL)
+        _parts(_pieces(batches), template, hold_bytes), _PART, lambda r: 200 + len(r["turns"] or b"") + len(r["loss"] or b"")), _PART_DDL)
     dealt = parts.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "tie", "seq")
     return dealt.mapInArrow(lambda batches: _batched(_joined(_rows(batches)), _OUT), _OUT_DDL)
 

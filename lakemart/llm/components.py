@@ -14,11 +14,22 @@ from pyspark.sql import functions as F
 from lakemart.session import scratch_dir
 
 
-def stored(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
-    """Write to the shared scratch folder and read back."""
+def stored_at(df: DataFrame, spark: SparkSession, name: str) -> tuple[str, DataFrame]:
+    """Write to a new folder of the shared scratch folder and read back: (folder, rows)."""
     path = scratch_dir(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return path, spark.read.schema(df.schema).parquet(path)
+
+
+def stored(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
+    """Write to the shared scratch folder and read back."""
+    return stored_at(df, spark, name)[1]
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Remove a folder made by ``stored_at`` whose rows nothing reads any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:

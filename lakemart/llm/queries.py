@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakemart.llm import (bpe, chat_format, decontaminate, html_text, license_scan, line_dedup, ngram_join, pii,
-                          quality_model, quality_rules, warc)
+from lakemart.llm import (bpe, chat_format, decontaminate, html_text, lexical_index, license_scan, line_dedup, ngram_join,
+                          pii, quality_model, quality_rules, vector_codes, warc)
 from lakemart.session import scratch_dir
 
 
@@ -84,6 +85,20 @@ def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.format_conversations(rows.unionAll(more), *tokenizer()))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents for every benchmark item."""
+    index = lexical_index.build_index(_table(spark, sf_dir, "documents"))
+    return lexical_index.search(index, _table(spark, sf_dir, "benchmark"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of four parts for every vector, with their errors and the codebooks' hash."""
+    codes = vector_codes.encode_vectors(_table(spark, sf_dir, "embeddings"))
+    return vector_codes.with_label_error(codes.rows).select(
+        "vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error",
+        F.lit(codes.books_sha256()).alias("codebooks_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_html_text": op2_html_text,
@@ -96,8 +111,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_license_scan": op9_license_scan,
     "op10_line_dedup": op10_line_dedup,
     "op11_chat_format": op11_chat_format,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 SQL: dict[str, str] = {
     "op11_chat_format": chat_format.oracle_sql(),
+    "op12_lexical_search": lexical_index.oracle_sql(),
+    "op13_vector_codes": vector_codes.oracle_sql(),
 }

@@ -90,13 +90,12 @@ def test_read_back_matches_plain_python(spark):
     assert {tuple(r) for r in got.collect()} == _want(rows)
 
 
-def test_small_pieces_and_held_bytes_give_the_same(spark, monkeypatch):
+def test_small_pieces_and_held_bytes_give_the_same(spark):
     rows = _many()
-    frame = _frame(spark, rows)
-    monkeypatch.setattr(chat_format, "PIECE_CHARS", 40)
-    monkeypatch.setattr(chat_format, "HOLD_BYTES", 100)
-    pieces = chat_format.format_conversations(frame, *tokenizer())
-    assert {tuple(r) for r in chat_format.read_back(pieces).collect()} == _want(rows)
+    pieces = chat_format.format_conversations(_frame(spark, rows), *tokenizer(), piece_chars=40)
+    assert pieces.count() > len({r[0] for r in rows})
+    for hold in (0, 100, 1 << 20):
+        assert {tuple(r) for r in chat_format.read_back(pieces, hold_bytes=hold).collect()} == _want(rows)
 
 
 def test_hot_conversation_is_split_over_tasks_and_encodes_as_one_text(spark):
@@ -126,16 +125,16 @@ def test_hot_conversation_is_split_over_tasks_and_encodes_as_one_text(spark):
             assert all(x in (i, IGNORED) for i, x in zip(p.ids, p.labels, strict=True))
 
 
-def test_long_text_is_encoded_in_slices(spark, monkeypatch):
+def test_long_text_is_encoded_in_slices(monkeypatch):
+    data, pattern = tokenizer()
+    encoder = chat_format.ChatEncoder(chat_format.read_ranks(data), pattern, Template())
     rng = random.Random(1)
-    text = " ".join(rng.choice(["one", "É漢", "</s>", "  two", "\n", "x" * 90]) for _ in range(4000))
-    rows = [(1, 0, "user", "q"), (1, 1, "assistant", text)]
-    frame = _frame(spark, rows)
-    whole = [r.ids for r in chat_format.format_conversations(frame, *tokenizer()).orderBy("turn", "seq").collect()]
+    parts = ["one", "É漢", "</s>", "  two", "\n", "x" * 90, "<|turn|>", "<|text|> ", "end."]
+    text = " ".join(rng.choice(parts) for _ in range(4000))
+    ids, ends = encoder.encode(text)
     monkeypatch.setattr(chat_format, "SLICE_CHARS", 1000)
-    pieces = chat_format.format_conversations(frame, *tokenizer())
-    assert [r.ids for r in pieces.orderBy("turn", "seq").collect()] == whole
-    assert {tuple(r) for r in chat_format.read_back(pieces).collect()} == _want(rows)
+    again, ends_again = encoder.encode(text)
+    assert (ids == again).all() and (ends == ends_again).all() and ends[-1] == len(text.encode())
 
 
 def test_edge_rows(spark):
