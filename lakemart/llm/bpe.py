@@ -17,6 +17,7 @@ import base64
 import hashlib
 import re
 from functools import lru_cache
+from sys import getsizeof
 
 import numpy as np
 import regex
@@ -25,8 +26,11 @@ from pyspark.sql import functions as F
 
 from lakemart.llm.textblocks import map_batches
 
-#: Entries of each per-process memory before it is emptied.
-MEMORY = 600_000
+#: Bytes of each memory of a process, by the sizes that CPython gives its objects, before it is emptied.  All of them
+#: are emptied when a task's batches are through.
+WORDS_BYTES, PREFIX_BYTES, APART_BYTES = 48 << 20, 8 << 20, 24 << 20
+#: A dict's slot and entry, and a small int.
+_SLOT, _INT = 104, 32
 #: Pieces of so many bytes share the memory of prefixes.
 SHORT = 24
 
@@ -52,6 +56,13 @@ class Vocabulary:
         self._halves: dict[int, tuple[int, int] | None] = {}
         self._edges: dict[tuple[int, int], list[tuple[bytes, int]]] = {}
 
+    def forget(self) -> None:
+        """Empty the memories; what follows from the ranks alone stays."""
+        self.last.clear()
+        self._apart.clear()
+        self._halves.clear()
+        self._edges.clear()
+
     def merge(self, piece: bytes, stop: int = 1) -> list[int]:
         """The piece's ids by merging the lowest-ranked neighbours first, down to ``stop`` parts."""
         parts = [piece[i:i + 1] for i in range(len(piece))]
@@ -94,7 +105,7 @@ class Vocabulary:
         key = left << 20 | right
         known = self._apart.get(key)
         if known is None:
-            if len(self._apart) >= MEMORY:
+            if len(self._apart) >= APART_BYTES // (_SLOT + _INT):
                 self._apart.clear()
             get, known = self.ranks.get, self.halves(right) is not None
             for b, b_ends in self._edge(right, 0) if known else ():
@@ -132,7 +143,7 @@ class Vocabulary:
     def encode_short(self, piece: bytes) -> list[int]:
         """Ids of a piece, going on from the longest of its prefixes seen before; all its prefixes are kept."""
         seen = self.last
-        if len(seen) >= MEMORY:
+        if len(seen) >= PREFIX_BYTES // (_SLOT + _INT + 33 + SHORT):
             seen.clear()
         end = i = len(piece)
         while i and piece[:i] not in seen:
@@ -192,6 +203,7 @@ class Encoder(dict):
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         super().__init__()
         self._older: dict[str, bytes] = {}
+        self._bytes = 0
         self.vocabulary, self._pattern = Vocabulary(ranks), regex.compile(pattern)
 
     def encode_piece(self, piece: bytes) -> list[int]:
@@ -218,12 +230,21 @@ class Encoder(dict):
             else:
                 packed = self.pack(" " + word)
         if len(word) <= 64:
-            if len(self) >= MEMORY // 2:
+            if self._bytes >= WORDS_BYTES // 2:
                 self._older = dict(self)
                 self.clear()
+                self._bytes = 0
             self[word] = packed
+            self._bytes += getsizeof(word) + getsizeof(packed) + _SLOT
         return packed
 
+    def forget(self) -> None:
+        """Empty the memories."""
+        self.clear()
+        self._older.clear()
+        self._bytes = 0
+        self.vocabulary.forget()
+
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
@@ -269,4 +290,5 @@ def encode_documents(docs: DataFrame, ranks: bytes, pattern: str, id_col: str =
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return map_batches(texts, rows, schema + (", ids array<int>" if keep_ids else ""))
+    return map_batches(texts, rows, schema + (", ids array<int>" if keep_ids else ""),
+                       end=lambda: _encoder(sent.value, pattern).forget())

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm.textblocks import ALNUM_WORD, U, Block, blocks, map_batches, row_of, shingles
+from lakemart.llm.textblocks import ALNUM_WORD, U, Block, blocks, map_batches, packed, row_of, shingles, unpacked
 
 #: Bits in which a window's fingerprint may differ from an item's. At a similarity
 #: of 0.8 about 10 of 64 bits differ, with a deviation of 3.
@@ -224,9 +224,11 @@ def _matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` whose text has no match in the benchmark, also those without id.
 
-    Rows go by id and text: another text of the same id stays.
+    Rows go by id and text: another text of the same id stays.  Null and empty
+    texts match nothing and stay; repeated rows stay or go together.  All columns
+    are kept, whatever their names; an empty table gives no rows.
     """
-    bad = (_matches(docs, benchmark, id_col, text_col, **options)
-           .select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark")).distinct())
-    return docs.join(bad, F.col(id_col).cast("long").eqNullSafe(F.col("__id"))
-                     & (F.xxhash64(F.col(text_col).cast("string")) == F.col("__mark")), "left_anti")
+    bad = _matches(docs, benchmark, id_col, text_col, **options).select(F.col("doc_id").alias("bad_id"), F.col("mark").alias("bad")).distinct()
+    rows = packed(docs, text_col, doc_id=F.col(id_col).cast("long"), mark=F.xxhash64(F.col(text_col).cast("string")))
+    return unpacked(rows.join(bad, F.col("doc_id").eqNullSafe(F.col("bad_id")) & (F.col("mark") == F.col("bad")), "left_anti"),
+                    docs.columns)

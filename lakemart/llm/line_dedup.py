@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.llm.components import stored
-from lakemart.llm.textblocks import SPACE_WORD, U, Block, blocks, map_batches, mix, row_of
+from lakemart.llm.textblocks import SPACE_WORD, U, Block, blocks, map_batches, mix, packed, row_of, unpacked, with_field
 
 _STEP = 0x9E3779B97F4A7C15
 
@@ -106,15 +106,18 @@ def _strip(text: str, spans: list[tuple[int, int]]) -> tuple[str, int]:
     return "\n".join(kept), removed
 
 
-def _apply(batch):
-    texts, los, his = batch.column("text"), batch.column("los"), batch.column("his")
-    out, gone, lines = [], [], []
-    for text, lo, hi in zip(texts.to_pylist(), los.to_pylist(), his.to_pylist()):
-        lines.append(text.count("\n") + 1 if text else 0)
-        kept, n = (text, 0) if not lo else _strip(text, list(zip(lo, hi)))
-        out.append(kept)
-        gone.append(n)
-    yield {"row": batch.column("row"), "n_lines": lines, "n_removed": gone, "kept": out}
+def _apply(text_col: str):
+    def rows(batch):
+        row, los, his = batch.column("row"), batch.column("los").to_pylist(), batch.column("his").to_pylist()
+        out, gone, lines = [], [], []
+        for text, lo, hi in zip(row.field(text_col).to_pylist(), los, his):
+            lines.append(text.count("\n") + 1 if text else 0)
+            kept, n = (text, 0) if not lo else _strip(text, list(zip(lo, hi)))
+            out.append(kept)
+            gone.append(n)
+        yield {"row": with_field(row, text_col, out), "n_lines": lines, "n_removed": gone}
+
+    return rows
 
 
 def repeated_spans(texts: DataFrame, min_words: int) -> DataFrame:
@@ -130,30 +133,31 @@ def repeated_spans(texts: DataFrame, min_words: int) -> DataFrame:
     return across.unionAll(found.where("again").select("doc_id", "mark", "lo", "hi"))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 50) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 50,
+                counts: tuple[str, str] = ("n_lines", "n_removed")) -> DataFrame:
     """The rows of ``docs`` with ``text_col`` cleared of later repeated runs of lines, and n_lines, n_removed.
 
     A run repeats if its lines, at least ``min_words`` words together, stand in
     the same order in a text with a smaller id or earlier in the same text.
-    The other columns stay as they are; columns named n_lines or n_removed are
-    replaced.  Blank lines right after a removed run go with it.
+    The other columns stay as they are.  ``counts`` names the two new columns;
+    columns of ``docs`` with these names are replaced.  Blank lines right after a
+    removed run go with it.
 
     Nulls: a null text stays null with no lines.  Rows without id stay whole
     and are compared with none.  Rows with equal ids count as one text's
-    position: none of them is earlier than the other.  An empty table gives no
-    rows; an empty text has no lines and stays empty.
+    position: none of them is earlier than the other.  Repeated rows lose the
+    same lines.  Texts are whole.  An empty table gives no rows; an empty text has
+    no lines and stays empty.
     """
-    own = docs.drop("n_lines", "n_removed")
-    texts = own.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
-                       F.xxhash64(text_col).alias("mark"))
+    columns = [c for c in docs.columns if c not in counts]
+    rows = packed(docs.select(*[F.col(f"`{c}`") for c in columns]), text_col,
+                  doc_id=F.col(id_col).cast("long"), mark=F.xxhash64(F.col(text_col).cast("string")))
+    texts = rows.select("doc_id", F.col("row").getField(text_col).alias("text"), "mark")
+    # a set: repeated rows have the same spans
     spans = (repeated_spans(texts, min_words).groupBy("doc_id", "mark")
-             .agg(F.collect_list(F.struct("lo", "hi")).alias("spans")))
-    row = F.struct(*[F.col(c) for c in own.columns]).alias("row")
-    joined = (own.select(row, F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("mark"))
-              .join(spans, ["doc_id", "mark"], "left")
-              .select("row", F.col(f"row.{text_col}").cast("string").alias("text"),
-                      F.col("spans.lo").alias("los"), F.col("spans.hi").alias("his")))
-    schema = joined.select("row").schema.add("n_lines", "integer").add("n_removed", "integer").add("kept", "string")
-    done = map_batches(joined, _apply, schema)
-    cols = [F.col("kept").alias(c) if c == text_col else F.col(f"row.{c}").alias(c) for c in own.columns]
-    return done.select(*cols, F.col("n_lines").cast("long").alias("n_lines"), F.col("n_removed").cast("long").alias("n_removed"))
+             .agg(F.collect_set(F.struct("lo", "hi")).alias("spans")))
+    joined = rows.join(spans, ["doc_id", "mark"], "left").select(
+        "row", F.col("spans.lo").alias("los"), F.col("spans.hi").alias("his"))
+    schema = joined.select("row").schema.add("n_lines", "long").add("n_removed", "long")
+    done = map_batches(joined, _apply(text_col), schema)
+    return unpacked(done, columns, **{counts[0]: F.col("n_lines"), counts[1]: F.col("n_removed")})

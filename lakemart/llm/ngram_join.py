@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.llm.components import connected_components, stored
-from lakemart.llm.textblocks import SPACE_WORD, U, blocks, list_column, map_batches, mix, shingles
+from lakemart.llm.textblocks import SPACE_WORD, U, blocks, list_column, map_batches, mix, packed, shingles, unpacked
 
 #: Sets with at most so many ranges, one of them empty, emit their prefix as well.
 FEW_RANGES = 32
@@ -445,11 +445,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
              threshold: tuple[int, int] = (80, 100)) -> DataFrame:
     """The rows of ``docs`` that stay: of each group of linked rows the one with the least id.
 
-    Rows without id stay.  Of repeated rows with the group's least id, all stay.
-    Rows go by id and text: where an id has several texts, each is judged by
-    its own group.
+    Rows without id stay, and so do null and empty texts, which are linked with
+    nothing.  Of repeated rows with the group's least id, all stay.  Rows go by id
+    and text: where an id has several texts, each is judged by its own group.
+    All columns are kept, whatever their names; an empty table gives no rows.
     """
-    out = (_components(docs, id_col, text_col, k, threshold).where("doc_id <> component_id")
-           .select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark")).distinct())
-    return docs.join(out, (F.col(id_col).cast("long") == F.col("__id"))
-                     & (F.xxhash64(F.col(text_col).cast("string")) == F.col("__mark")), "left_anti")
+    out = _components(docs, id_col, text_col, k, threshold).where("doc_id <> component_id").select("doc_id", "mark").distinct()
+    rows = packed(docs, text_col, doc_id=F.col(id_col).cast("long"), mark=F.xxhash64(F.col(text_col).cast("string")))
+    return unpacked(rows.join(out, ["doc_id", "mark"], "left_anti"), docs.columns)

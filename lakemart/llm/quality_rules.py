@@ -20,7 +20,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.textblocks import SPACE_WORD, U, Block, blocks, map_batches, mix, row_of, shingles
+from lakemart.llm.textblocks import (SPACE_WORD, U, Block, blocks, map_batches, mix, packed, row_of, shingles, unpacked,
+                                     with_field)
 
 #: Limits for whole documents.
 MIN_WORDS = 50
@@ -168,34 +169,37 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_l
     return map_batches(texts, _measure(max_lost), _SCHEMA)
 
 
-def _clean(max_lost: float):
+def _clean(text_col: str, max_lost: float):
+    import pyarrow as pa
+
     def rows(batch):
-        texts = batch.column("text").to_pylist()
-        out, keep = [None] * len(texts), np.zeros(len(texts), bool)
-        judged = _measure(max_lost)(batch)
-        for block, verdict in zip(blocks(batch.column("text")), judged):
-            here = slice(block.first_row, block.first_row + block.rows)
-            keep[here] = verdict["kept"]
-            row, number, failed, _, _, _ = bad_lines(block)
+        row = batch.column("row")
+        texts = row.field(text_col)
+        own = pa.RecordBatch.from_arrays([pa.nulls(len(row), pa.int64()), texts], names=["doc_id", "text"])
+        for block, verdict in zip(blocks(texts), _measure(max_lost)(own)):
+            at = np.flatnonzero(verdict["kept"])
+            if not len(at):
+                continue
+            of, number, failed, _, _, _ = bad_lines(block)
             drop: dict[int, set[int]] = {}
-            for r, i in zip(row[failed].tolist(), number[failed].tolist()):
+            for r, i in zip(of[failed].tolist(), number[failed].tolist()):
                 drop.setdefault(r, set()).add(i)
-            for r in range(block.rows):
-                text = texts[block.first_row + r]
-                gone = drop.get(r)
-                out[block.first_row + r] = text if not gone else "\n".join(
-                    line for i, line in enumerate(text.split("\n")) if i not in gone)
-        at = np.flatnonzero(keep)
-        if len(at):
-            yield {"row": batch.column("row").take(at), "kept_text": [out[i] for i in at.tolist()]}
+            out = []
+            for r in at.tolist():
+                text, gone = texts[block.first_row + r].as_py(), drop.get(r)
+                out.append(text if not gone else "\n".join(line for i, line in enumerate(text.split("\n")) if i not in gone))
+            yield {"row": with_field(row.take(pa.array(at + block.first_row)), text_col, out)}
 
     return rows
 
 
 def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_lost: float = MAX_LOST) -> DataFrame:
-    """The rows of ``docs`` that stay, without their failing lines; all columns as before."""
-    packed = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"),
-                         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    schema = packed.select("row").schema.add("kept_text", "string")
-    done = map_batches(packed, _clean(max_lost), schema)
-    return done.select(*[F.col("kept_text").alias(c) if c == text_col else F.col(f"row.{c}").alias(c) for c in docs.columns])
+    """The rows of ``docs`` that stay, without their failing lines; all columns as before.
+
+    Nulls: null and empty texts have too few words and go; a row without id is
+    judged like any other.  Repeated rows stay or go together.  Texts are whole,
+    whatever their length.  Other columns, whatever their names, are kept as they
+    are.  An empty table gives no rows.
+    """
+    rows = packed(docs, text_col)
+    return unpacked(map_batches(rows, _clean(text_col, max_lost), rows.schema), docs.columns)

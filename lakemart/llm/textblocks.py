@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 U = np.uint64
 BLOCK_BYTES = 1 << 19
@@ -138,10 +139,32 @@ def blocks(column: pa.Array | pa.ChunkedArray, lower: bool = False) -> Iterator[
         row = upto
 
 
-def map_batches(df: DataFrame, fn, schema: str) -> DataFrame:
+def packed(docs: DataFrame, text_col: str, **more) -> DataFrame:
+    """The rows of ``docs`` as one struct column ``row`` (its text a string), beside the columns ``more``.
+
+    So no column of ``docs`` can clash with an operator's own.
+    """
+    columns = [F.col(f"`{c}`").cast("string").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
+    return docs.select(F.struct(*columns).alias("row"), *[c.alias(name) for name, c in more.items()])
+
+
+def unpacked(df: DataFrame, columns: list[str], **more) -> DataFrame:
+    """The columns of ``row``, then the columns ``more``."""
+    return df.select(*[F.col("row").getField(c).alias(c) for c in columns], *[c.alias(name) for name, c in more.items()])
+
+
+def with_field(rows: pa.StructArray, name: str, values: list) -> pa.StructArray:
+    """The rows with other values in one field."""
+    fields = list(rows.type)
+    arrays = [pa.array(values, f.type) if f.name == name else rows.field(i) for i, f in enumerate(fields)]
+    return pa.StructArray.from_arrays(arrays, fields=fields)
+
+
+def map_batches(df: DataFrame, fn, schema: str, end=None) -> DataFrame:
     """``fn`` over each Arrow batch; it returns a dict of columns (or None for no rows).
 
-    Outputs are cut to the schema's order and types.
+    Outputs are cut to the schema's order and types.  ``end`` is called when a
+    task's batches are through, also after an error.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
@@ -149,12 +172,16 @@ def map_batches(df: DataFrame, fn, schema: str) -> DataFrame:
     target = to_arrow_schema(StructType.fromDDL(schema) if isinstance(schema, str) else schema)
 
     def run(batches):
-        for batch in batches:
-            step = max(1, batch.num_rows * SLICE_BYTES // max(1, batch.nbytes))
-            for cols in (c for at in range(0, batch.num_rows, step) for c in fn(batch.slice(at, step))):
-                yield pa.RecordBatch.from_arrays(
-                    [c if isinstance(c, pa.Array) and c.type == f.type else pa.array(c, type=f.type)
-                     for f, c in ((f, cols[f.name]) for f in target)], schema=target)
+        try:
+            for batch in batches:
+                step = max(1, batch.num_rows * SLICE_BYTES // max(1, batch.nbytes))
+                for cols in (c for at in range(0, batch.num_rows, step) for c in fn(batch.slice(at, step))):
+                    yield pa.RecordBatch.from_arrays(
+                        [c if isinstance(c, pa.Array) and c.type == f.type else pa.array(c, type=f.type)
+                         for f, c in ((f, cols[f.name]) for f in target)], schema=target)
+        finally:
+            if end is not None:
+                end()
 
     return df.mapInArrow(run, schema)
 

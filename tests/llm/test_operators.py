@@ -442,3 +442,70 @@ def test_pipeline_keeps_clean_documents(spark, sf001):
         assert cur.columns == docs.columns
     leaks = {r.doc_id for r in decontaminate.contaminated(cur, spark.read.parquet(f"{sf001}/benchmark.parquet")).collect()}
     assert not leaks and {r.doc_id for r in P.run(spark, sf001).collect()} == {r.doc_id for r in cur.collect()}
+
+
+CLASHING = "doc_id long, text string, __id long, __mark long, n_lines long, n_removed long, `row` string, mark long, bad long, `a.b` string"
+
+
+def test_stages_keep_columns_of_any_name(spark, tmp_path):
+    """Stage functions on documents with columns named like their own, without n_chars, with nulls and repeated rows."""
+    import corpus_pipeline as pipeline
+
+    rng = random.Random(12)
+    prose = lambda n: " ".join(rng.choice("alpha, beta gamma. delta the of É漢 x1 end.".split()) + str(rng.randint(0, 400)) for _ in range(n))
+    run = "\n".join(prose(20) for _ in range(4))
+    texts = [(i, prose(80)) for i in range(30)]
+    texts += [(40, f"{prose(60)}\n{run}"), (41, f"{prose(60)}\n{run}\n{prose(70)}"), (42, None), (43, ""), (None, prose(90)), (None, prose(90))]
+    texts += [texts[3]] * 3 + [(50, texts[4][1])]
+    item = texts[9][1]
+    spark.createDataFrame([(1, item, "x")], "item_id long, text string, __id string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs = spark.createDataFrame([(i, t, 7, 8, 77, 78, "r", 9, 10, "dot") for i, t in texts], CLASHING).repartition(3)
+    for name, stage in pipeline.STAGES[:-1]:
+        got = stage(spark, docs, str(tmp_path))
+        assert got.columns == docs.columns, name
+        rows = got.collect()
+        assert {tuple(r)[2:] for r in rows} == {(7, 8, 77, 78, "r", 9, 10, "dot")}, name
+        assert stage(spark, docs.where("false"), str(tmp_path)).collect() == [], name
+    kept = {r.doc_id for r in pipeline.rules(spark, docs, "").collect()}
+    assert kept == {i for i, t in texts if t and len(t.split()) >= 50}
+    lines = {r.doc_id: r.text for r in pipeline.lines(spark, docs, "").collect()}
+    assert lines[42] is None and lines[43] == "" and run not in lines[41] and run in lines[40]
+    near = [r.doc_id for r in pipeline.near_duplicates(spark, docs, "").collect()]
+    assert 50 not in near and near.count(3) == 4 and near.count(None) == 2 and 42 in near
+    clean = [r.doc_id for r in pipeline.decontamination(spark, docs, str(tmp_path)).collect()]
+    assert 9 not in clean and len(clean) == len(texts) - 1
+    assert pipeline.encoding(spark, docs, "").count() == len(texts)
+
+
+def test_repeated_rows_lose_the_same_lines(spark):
+    run = "\n".join(f"line {i} of twelve words that stand here again and again, ok." for i in range(6))
+    rows = [(1, run)] + [(2, f"{run}\nown words")] * 200
+    got = line_dedup.dedup_lines(_docs(spark, rows)).collect()
+    assert sorted((r.doc_id, r.text, r.n_removed) for r in got) == [(1, run, 0)] + [(2, "own words", 6)] * 200
+
+
+def test_bpe_memories_are_bounded_and_emptied():
+    data, pattern = tokenizer()
+    encoder = bpe.Encoder(bpe.read_ranks(data), pattern)
+    rng = random.Random(2)
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyzé") for _ in range(rng.randint(2, 30))) for _ in range(3000)]
+    text = " ".join(words)
+    want = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=bpe.read_ranks(data), special_tokens={}).encode_ordinary(text)
+    assert np.frombuffer(encoder.encode(text), "<u4").tolist() == want
+    assert 0 < encoder._bytes <= bpe.WORDS_BYTES
+    encoder.forget()
+    assert not encoder and not encoder._older and not encoder.vocabulary.last and not encoder.vocabulary._apart
+    assert np.frombuffer(encoder.encode(text), "<u4").tolist() == want
+
+
+def test_bpe_memories_renew_themselves(monkeypatch):
+    data, pattern = tokenizer()
+    monkeypatch.setattr(bpe, "WORDS_BYTES", 4000)
+    monkeypatch.setattr(bpe, "PREFIX_BYTES", 4000)
+    monkeypatch.setattr(bpe, "APART_BYTES", 4000)
+    encoder = bpe.Encoder(bpe.read_ranks(data), pattern)
+    rng = random.Random(3)
+    text = " ".join("".join(rng.choice("abcdeé.") for _ in range(rng.randint(1, 12))) for _ in range(2000))
+    want = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=bpe.read_ranks(data), special_tokens={}).encode_ordinary(text)
+    assert np.frombuffer(encoder.encode(text), "<u4").tolist() == want
+    assert encoder._bytes <= 4000 and len(encoder.vocabulary._apart) <= 4000 // 100
