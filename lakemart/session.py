@@ -11,7 +11,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -78,3 +78,26 @@ def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
         spark.sparkContext.setCheckpointDir(base)
         base = _configured_checkpoint_dir(spark) or base
     return f"{base.rstrip('/')}/lakemart-{name}-{uuid.uuid4().hex}"
+
+
+def stored_at(df: DataFrame, name: str = "step") -> tuple[str, DataFrame]:
+    """``df`` written to a new folder of the shared scratch folder and read back: (folder, rows).
+
+    Its lineage is cut, so a lost executor costs no recomputation of it, and
+    its size is known to the planner.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    df.write.parquet(path)
+    return path, spark.read.schema(df.schema).parquet(path)
+
+
+def stored(df: DataFrame, name: str = "step") -> DataFrame:
+    """The rows of ``stored_at``."""
+    return stored_at(df, name)[1]
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Remove a folder made by ``stored_at`` whose rows nothing reads any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

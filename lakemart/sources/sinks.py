@@ -10,9 +10,10 @@ writing a hot month.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,7 +38,8 @@ def write_table(
     rebalance: bool = True,
     options: dict[str, str] | None = None,
     writers: int | None = None,
-) -> None:
+    metrics: Mapping[str, Column] | None = None,
+) -> dict[str, object]:
     """Write ``df`` to ``path``; default mode fails if the path exists.
 
     ``writers``: for *aggregated* tables with a bounded number of rows per
@@ -47,6 +49,9 @@ def write_table(
     thousands of partition values into one task that then creates every
     file in sequence.  Leave it ``None`` for row-level data, where the
     rebalance hint splits hot partition values by size.
+
+    ``metrics``: aggregates over the rows as they are written, returned by
+    name; they cost no scan of their own (``Observation``).
     """
     parts = list(partition_by or [])
     if writers and parts:
@@ -56,12 +61,28 @@ def write_table(
         df = df.repartition(writers, F.xxhash64(*parts))
     elif rebalance:
         df = df.hint("rebalance", *parts) if parts else df.hint("rebalance")
+    seen = Observation()
+    if metrics:
+        df = df.observe(seen, *[c.alias(name) for name, c in metrics.items()])
     writer = df.write.mode(mode).format(fmt)
     if parts:
         writer = writer.partitionBy(*parts)
     for k, v in (options or {}).items():
         writer = writer.option(k, v)
     writer.save(path)
+    return seen.get if metrics else {}
+
+
+def write_bucketed(df: DataFrame, path: str, keys: Sequence[str], buckets: int, fmt: str = "parquet") -> DataFrame:
+    """Write ``df`` bucketed by ``keys`` and read it as a table: joins and groupings by the keys need no shuffle.
+
+    One shuffle here, by the function that buckets use, so a bucket is one
+    file.  The session's catalog has the table under a name of its own; the data
+    lie at ``path``.
+    """
+    name = f"lakemart_{uuid.uuid4().hex}"
+    (df.repartition(buckets, *keys).write.format(fmt).option("path", path).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name))
+    return df.sparkSession.table(name)
 
 
 def read_back(spark: SparkSession, path: str, schema: T.StructType,
