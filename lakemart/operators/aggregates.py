@@ -19,6 +19,7 @@ Scale notes
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -83,6 +84,94 @@ def null_count(c: ColumnOrName) -> Column:
 
 # --- fused per-group measures (A1-A5) -------------------------------------------------
 
+@dataclass(frozen=True)
+class Measures:
+    """What ``grouped_measures`` computes for each group.
+
+    ``count_maps``: ``{out: (column, 'string'|'int')}`` -> ``map<key, count>``
+    of the non-NULL values (an all-NULL group gives an empty map).
+    ``means``: ``{out: column}`` -> ``round(avg, digits)``.
+    ``medians``: ``{out: column}`` -> exact median.
+    ``row_count_col``: name of an optional row-count column (bigint).
+    """
+
+    count_maps: Mapping[str, tuple[str, str]] = field(default_factory=dict)
+    means: Mapping[str, str] = field(default_factory=dict)
+    medians: Mapping[str, str] = field(default_factory=dict)
+    row_count_col: str | None = None
+    digits: int = 2
+    empty_median: str = "nan"
+    count_type: str = "int"
+
+    def __post_init__(self):
+        names = [_ROWS, *self.count_maps, *self.means, *self.medians]
+        if len(set(names)) != len(names):
+            raise ValueError(f"output names must be distinct: {names}")
+        for _, key_type in self.count_maps.values():
+            if key_type not in ("string", "int"):
+                raise ValueError(f"key type must be 'string' or 'int', not {key_type!r}")
+
+    @property
+    def tags(self) -> dict[str, int]:
+        """Measures by a small integer (cheaper to shuffle and hash than a name)."""
+        return {name: i for i, name in enumerate([_ROWS, *self.count_maps, *self.means, *self.medians])}
+
+    def counts(self, df: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """(keys, m, s, i, d, n, sv): how often each value of each measure stands in each group.
+
+        m is the measure's tag; s, i or d is the value (counted per distinct
+        value); sv sums the values of means, which collapse to one row per
+        group like avg's buffer.  Counts of several inputs merge: add up n and sv by the
+        other columns (``merge_counts``).
+        """
+        tag = self.tags
+        tag_type = "tinyint" if len(tag) < 128 else "int"
+        null_s, null_i, null_d = (F.lit(None).cast(t) for t in ("string", "bigint", "double"))
+
+        def entry(name: str, s: Column = null_s, i: Column = null_i, d: Column = null_d, v: Column = null_d) -> Column:
+            return F.struct(F.lit(tag[name]).cast(tag_type).alias("m"),
+                            s.alias("s"), i.alias("i"), d.alias("d"), v.alias("v"))
+
+        entries = [entry(_ROWS)]
+        for out, (src, key_type) in self.count_maps.items():
+            value = _col(src)
+            entries.append(entry(out, s=value.cast("string")) if key_type == "string" else entry(out, i=value.cast("bigint")))
+        entries += [entry(out, v=to_double(src)) for out, src in self.means.items()]
+        entries += [entry(out, d=to_double(src)) for out, src in self.medians.items()]
+        long = (
+            df.select(*keys, F.inline(F.array(*entries)))
+            .filter((F.col("m") == tag[_ROWS]) | F.col("s").isNotNull() | F.col("i").isNotNull()
+                    | F.col("d").isNotNull() | F.col("v").isNotNull())
+        )
+        return long.groupBy(*keys, "m", "s", "i", "d").agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("sv"))
+
+    def from_counts(self, counted: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """The measures of each group, from merged counts."""
+        tag = self.tags
+        m, s, i, d, n, sv = (F.col(x) for x in ("m", "s", "i", "d", "n", "sv"))
+        n_out = n.cast(self.count_type)
+        aggs: list[Column] = []
+        if self.row_count_col:
+            aggs.append(F.sum(F.when(m == tag[_ROWS], n)).alias(self.row_count_col))
+        for out, (_, key_type) in self.count_maps.items():
+            key = s if key_type == "string" else i.cast("int")
+            pairs = F.collect_list(F.when(m == tag[out], F.struct(key.alias("key"), n_out.alias("value"))))
+            aggs.append(F.map_from_entries(F.array_sort(pairs)).alias(out))
+        for out in self.means:
+            total = F.sum(F.when(m == tag[out], sv))
+            weight = F.sum(F.when(m == tag[out], n))
+            aggs.append(F.round(total / weight, self.digits).alias(out))
+        for out in self.medians:
+            med = F.percentile(F.when(m == tag[out], d), F.lit(0.5), n)
+            aggs.append(_empty_median(med, self.empty_median).alias(out))
+        return counted.groupBy(*keys).agg(*aggs)
+
+
+def merge_counts(counted: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per (keys, m, s, i, d) from the rows of several ``Measures.counts``."""
+    return counted.groupBy(*keys, "m", "s", "i", "d").agg(F.sum("n").alias("n"), F.sum("sv").alias("sv"))
+
+
 def grouped_measures(
     df: DataFrame,
     keys: Sequence[str],
@@ -95,13 +184,7 @@ def grouped_measures(
     empty_median: str = "nan",
     count_type: str = "int",
 ) -> DataFrame:
-    """Per-group measures over ``df`` in one pass.
-
-    ``count_maps``: ``{out: (column, 'string'|'int')}`` -> ``map<key, count>``
-    of the non-NULL values (an all-NULL group gives an empty map).
-    ``means``: ``{out: column}`` -> ``round(avg, digits)``.
-    ``medians``: ``{out: column}`` -> exact median.
-    ``row_count_col``: name of an optional row-count column (bigint).
+    """Per-group measures over ``df`` in one pass (see ``Measures`` for the arguments).
 
     Plan: each row is unpivoted into one entry per measure (NULL values
     dropped).  Entries are counted per ``(keys, measure, value)`` with
@@ -111,69 +194,9 @@ def grouped_measures(
     (``percentile(value, 0.5, count)``).  Every group of ``df`` appears once,
     even if all its measures are NULL.
     """
-    count_maps = dict(count_maps or {})
-    means = dict(means or {})
-    medians = dict(medians or {})
-    keys = list(keys)
-
-    null_s = F.lit(None).cast("string")
-    null_i = F.lit(None).cast("bigint")
-    null_d = F.lit(None).cast("double")
-
-    # measures are tagged by a small integer (cheaper to shuffle and hash than a name)
-    names = [_ROWS, *count_maps, *means, *medians]
-    if len(set(names)) != len(names):
-        raise ValueError(f"output names must be distinct: {names}")
-    tag = {name: idx for idx, name in enumerate(names)}
-    tag_type = "tinyint" if len(names) < 128 else "int"
-
-    # entry = (m: measure tag, s/i/d: the value counted per distinct value,
-    #          v: a value only summed).  Means carry their value in v, so they
-    #          collapse to one (sum, count) partial per group like avg's buffer;
-    #          maps and medians need the count per distinct value.
-    def entry(name: str, s: Column = null_s, i: Column = null_i, d: Column = null_d,
-              v: Column = null_d) -> Column:
-        return F.struct(F.lit(tag[name]).cast(tag_type).alias("m"),
-                        s.alias("s"), i.alias("i"), d.alias("d"), v.alias("v"))
-
-    entries = [entry(_ROWS)]
-    for out, (src, key_type) in count_maps.items():
-        if key_type == "string":
-            entries.append(entry(out, s=_col(src).cast("string")))
-        elif key_type == "int":
-            entries.append(entry(out, i=_col(src).cast("bigint")))
-        else:
-            raise ValueError(f"key type must be 'string' or 'int', not {key_type!r}")
-    for out, src in means.items():
-        entries.append(entry(out, v=to_double(src)))
-    for out, src in medians.items():
-        entries.append(entry(out, d=to_double(src)))
-
-    long = (
-        df.select(*keys, F.inline(F.array(*entries)))
-        .filter((F.col("m") == tag[_ROWS]) | F.col("s").isNotNull() | F.col("i").isNotNull()
-                | F.col("d").isNotNull() | F.col("v").isNotNull())
-    )
-    counted = long.groupBy(*keys, "m", "s", "i", "d").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("v").alias("sv"))
-
-    m, s, i, d, n, sv = (F.col(x) for x in ("m", "s", "i", "d", "n", "sv"))
-    n_out = n.cast(count_type)
-    aggs: list[Column] = []
-    if row_count_col:
-        aggs.append(F.sum(F.when(m == tag[_ROWS], n)).alias(row_count_col))
-    for out, (_, key_type) in count_maps.items():
-        key = s if key_type == "string" else i.cast("int")
-        pairs = F.collect_list(F.when(m == tag[out], F.struct(key.alias("key"), n_out.alias("value"))))
-        aggs.append(F.map_from_entries(F.array_sort(pairs)).alias(out))
-    for out in means:
-        total = F.sum(F.when(m == tag[out], sv))
-        weight = F.sum(F.when(m == tag[out], n))
-        aggs.append(F.round(total / weight, digits).alias(out))
-    for out in medians:
-        med = F.percentile(F.when(m == tag[out], d), F.lit(0.5), n)
-        aggs.append(_empty_median(med, empty_median).alias(out))
-    return counted.groupBy(*keys).agg(*aggs)
+    measures = Measures(dict(count_maps or {}), dict(means or {}), dict(medians or {}), row_count_col, digits,
+                        empty_median, count_type)
+    return measures.from_counts(measures.counts(df, list(keys)), list(keys))
 
 
 def count_map(df: DataFrame, keys: Sequence[str], column: str, key_type: str = "string",

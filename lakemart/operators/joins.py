@@ -64,14 +64,15 @@ def unique_by(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str] | No
 
 
 def snowflake(fact: DataFrame, airports: DataFrame, demographics: DataFrame,
-              temperature: DataFrame, fact_cols: Sequence[str] | None = None) -> DataFrame:
+              temperature: DataFrame, fact_cols: Sequence[str] | None = None, by_place: bool = False) -> DataFrame:
     """Fact -> airport -> demographics (city, state) and temperature (city, month).
 
     The airport dimension is first made unique per code, so the fact grain
     (month, airport_cd) is kept through the airport join.  Temperature is
     keyed by city alone in the model, so equal city names in different states
-    (told apart only by coordinates) can repeat a fact row; that is the
-    model's documented ambiguity, not a bug of this join.
+    can repeat a fact row.  ``by_place`` tells them apart by their coordinates: a
+    fact row gets the temperature of the city of that name that is nearest
+    to its airport, one row for each month.
     """
     cols = list(fact_cols) if fact_cols else [
         c for c in fact.columns if c not in ("gender", "trip_purpose", "visa_type", "countries", "airlines")
@@ -79,12 +80,23 @@ def snowflake(fact: DataFrame, airports: DataFrame, demographics: DataFrame,
     airport_dim = unique_by(airports.filter(F.col("airport_cd").isNotNull()), ["airport_cd"])
     airport_dim = airport_dim.select(
         "airport_cd", F.col("city"), F.col("state"),
-        F.col("name").alias("airport_name"), F.col("type").alias("airport_type"))
+        F.col("name").alias("airport_name"), F.col("type").alias("airport_type"),
+        *([F.col("latitude").alias("__lat"), F.col("longitude").alias("__lon")] if by_place else []))
     demo = demographics.drop("median_age").withColumnRenamed("avg_hh_size", "avg_household_size")
     temp = temperature.select("month", "city", "median_avg_temp")
-    return (
+    joined = (
         fact.select(*cols)
         .join(airport_dim, on="airport_cd", how="inner")
         .join(demo, on=["city", "state"], how="left")
-        .join(temp, on=["city", "month"], how="left")
     )
+    if not by_place:
+        return joined.join(temp, on=["city", "month"], how="left")
+    from lakemart.operators.nearest import nearest_locations
+
+    place = nearest_locations(airport_dim, temperature, ["city"], ("__lat", "__lon")).select(
+        "city", F.col("lat").alias("__lat"), F.col("lon").alias("__lon"),
+        F.col("to_lat").alias("__to_lat"), F.col("to_lon").alias("__to_lon"))
+    temp = temperature.select("month", "city", F.col("latitude").alias("__to_lat"), F.col("longitude").alias("__to_lon"), "median_avg_temp")
+    joined = join_on_keys(joined, place, ["city", "__lat", "__lon"], how="left", null_safe=True)
+    return (joined.join(temp, on=["city", "month", "__to_lat", "__to_lon"], how="left")
+            .drop("__lat", "__lon", "__to_lat", "__to_lon"))

@@ -13,8 +13,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.functions import columns as X
-from lakemart.operators.aggregates import distinct_median, grouped_measures, pivot_sum
+from lakemart.operators.aggregates import Measures, distinct_median, exact_median, rounded_mean, row_count
+from lakemart.operators.selection import selected_median
 
+# The fact's keys, its map columns with their sources and key types, and its columns in order.
 FACT_KEYS = ["month", "airport_cd"]
 MAP_MEASURES = {
     "gender": ("gender", "string"),
@@ -75,6 +77,23 @@ def clean_arrivals(raw: DataFrame) -> DataFrame:
     )
 
 
+def fact_measures(measures: Sequence[str] | None = None, *, empty_median: str = "nan", with_visits: bool = False,
+                  count_type: str = "int") -> Measures:
+    """What the fact's measure columns are computed from (default: all of them)."""
+    wanted = FACT_COLUMNS[len(FACT_KEYS):] if measures is None else list(measures)
+    unknown = set(wanted) - set(FACT_COLUMNS[len(FACT_KEYS):])
+    if unknown:
+        raise ValueError(f"no such measures: {sorted(unknown)}")
+    return Measures(
+        count_maps={m: spec for m, spec in MAP_MEASURES.items() if m in wanted},
+        means={"avg_stay": "length_of_stay"} if "avg_stay" in wanted else {},
+        medians={"median_age": "age"} if "median_age" in wanted else {},
+        row_count_col="visits" if with_visits else None,
+        empty_median=empty_median,
+        count_type=count_type,
+    )
+
+
 def build_immigration(clean: DataFrame, *, empty_median: str = "nan", stable_id: bool = False,
                       with_visits: bool = False, count_type: str = "int",
                       measures: Sequence[str] | None = None) -> DataFrame:
@@ -90,25 +109,26 @@ def build_immigration(clean: DataFrame, *, empty_median: str = "nan", stable_id:
 
     ``measures``: the measure columns to build (default: all).  Entries are made
     for these alone, since Spark can't prune unused ones out of the unpivot;
-    with none the fact is the distinct keys and their ids.
+    without any map the mean and the median are plain aggregates, and with none
+    at all the fact is the distinct keys and their ids.
     """
-    wanted = FACT_COLUMNS[len(FACT_KEYS):] if measures is None else list(measures)
-    unknown = set(wanted) - set(FACT_COLUMNS[len(FACT_KEYS):])
-    if unknown:
-        raise ValueError(f"no such measures: {sorted(unknown)}")
-    if wanted or with_visits:
-        built = grouped_measures(
-            clean, FACT_KEYS,
-            count_maps={m: spec for m, spec in MAP_MEASURES.items() if m in wanted},
-            means={"avg_stay": "length_of_stay"} if "avg_stay" in wanted else {},
-            medians={"median_age": "age"} if "median_age" in wanted else {},
-            row_count_col="visits" if with_visits else None,
-            empty_median=empty_median,
-            count_type=count_type,
-        )
+    spec = fact_measures(measures, empty_median=empty_median, with_visits=with_visits, count_type=count_type)
+    if spec.count_maps:
+        built = spec.from_counts(spec.counts(clean, FACT_KEYS), FACT_KEYS)
+    elif spec.means or spec.medians or with_visits:
+        # no map, no unpivot: one aggregate, and its shuffle is the only one above the dedup's
+        plain = [row_count().alias("visits")] if with_visits else []
+        plain += [rounded_mean(src, spec.digits).alias(out) for out, src in spec.means.items()]
+        plain += [exact_median(X.to_double(src), empty_median).alias(out) for out, src in spec.medians.items()]
+        built = clean.groupBy(*FACT_KEYS).agg(*plain)
     else:
         built = clean.select(*FACT_KEYS).distinct()
-    cols = [c for c in FACT_COLUMNS if c in FACT_KEYS or c in wanted] + (["visits"] if with_visits else [])
+    return finish_fact(built, stable_id)
+
+
+def finish_fact(built: DataFrame, stable_id: bool = False) -> DataFrame:
+    """The built measures in the fact's column order, with an id."""
+    cols = [c for c in (*FACT_COLUMNS, "visits") if c in built.columns]
     id_col = X.surrogate_id(*FACT_KEYS) if stable_id else X.surrogate_id()
     return built.select(*cols, id_col.alias("immigration_id"))
 
@@ -138,13 +158,14 @@ def build_airports(raw: DataFrame, *, require_iata: bool = False, require_city:
 
 
 def build_demographics(raw: DataFrame) -> DataFrame:
-    """M3: city attributes (deduplicated) joined with the race counts pivoted
-    to five columns, on (city, state).  Rows with a NULL city or state find
-    no partner and drop out, as in the original inner join.
+    """M3: city attributes (deduplicated) beside the race counts as five columns, by (city, state).
+
+    One aggregate reads the file once: a city's distinct attribute rows as a
+    set, its counts as conditional sums.  A city has one attribute row in
+    practice; the set is bounded by its distinct ones, not by its rows.  Rows
+    with a NULL city or state drop out, as in the original inner join.
     """
-    city = raw.select(
-        F.col("City").alias("city"),
-        F.col("State Code").alias("state"),
+    attributes = F.struct(
         X.to_double("Median Age").alias("median_age"),
         X.to_int("Male Population").alias("male_pop"),
         X.to_int("Female Population").alias("female_pop"),
@@ -152,26 +173,34 @@ def build_demographics(raw: DataFrame) -> DataFrame:
         X.to_int("Number of Veterans").alias("veterans"),
         X.to_int("Foreign-born").alias("foreign_born"),
         X.to_double("Average Household Size").alias("avg_hh_size"),
-    ).dropDuplicates()
-    races = pivot_sum(raw.select("City", "State Code", "Race", "Count"),
-                      ["City", "State Code"], "Race", list(RACE_COLUMNS), "Count",
-                      renames={"City": "city", "State Code": "state", **RACE_COLUMNS})
-    return city.join(races, on=["city", "state"], how="inner").select(
-        "city", "state", "median_age", "male_pop", "female_pop",
+    )
+    count = X.to_double("Count")
+    sums = [F.sum(F.when(F.col("Race") == race, count)).alias(out) for race, out in RACE_COLUMNS.items()]
+    cities = (
+        raw.where(F.col("City").isNotNull() & F.col("State Code").isNotNull())
+        .groupBy(F.col("City").alias("city"), F.col("State Code").alias("state"))
+        .agg(F.collect_set(attributes).alias("rows"), *sums)
+    )
+    return cities.select("city", "state", F.explode("rows").alias("a"), *RACE_COLUMNS.values()).select(
+        "city", "state", "a.median_age", "a.male_pop", "a.female_pop",
         # a population beyond 32 bits raises instead of turning into NULL
         *[F.col(c).cast("int").alias(c) for c in RACE_COLUMNS.values()],
-        "veterans", "foreign_born", "avg_hh_size",
+        "a.veterans", "a.foreign_born", "a.avg_hh_size",
     )
 
 
 def build_temperature(raw: DataFrame, *, min_year: int = MIN_TEMPERATURE_YEAR,
-                      country: str = US_COUNTRY, empty_median: str = "nan") -> DataFrame:
+                      country: str = US_COUNTRY, empty_median: str = "nan", hot_rows: int | None = None) -> DataFrame:
     """M4: monthly median of the average temperature (Fahrenheit, 2 decimals)
     per city and coordinates, from ``min_year`` on.
 
     The dedup runs after the year is dropped, so the median is over the
     *distinct* rounded temperatures of a (month, city, lat, long) group; it is
     fused with the median into one aggregation (one shuffle).
+
+    Rounded temperatures are few, so a group's set of them is small.  ``hot_rows``: for readings of any
+    precision, groups of more distinct values than that are
+    selected from step by step (``selected_median``) instead of held as a set.
     """
     dated = (
         raw.filter(F.col("Country") == country)
@@ -186,7 +215,10 @@ def build_temperature(raw: DataFrame, *, min_year: int = MIN_TEMPERATURE_YEAR,
         X.signed_coordinate("Latitude").alias("latitude"),
         X.signed_coordinate("Longitude").alias("longitude"),
     )
+    keys = ["month", "city", "latitude", "longitude"]
+    if hot_rows is not None:
+        return selected_median(rows.distinct(), keys, "avg_temp", "median_avg_temp", empty_median, hot_rows)
     # dedup + median fused: the group keys are part of the dedup key, so the
     # median over distinct rows is the median of the group's distinct values
-    return (rows.groupBy("month", "city", "latitude", "longitude")
+    return (rows.groupBy(*keys)
             .agg(distinct_median("avg_temp", empty_median).alias("median_avg_temp")))

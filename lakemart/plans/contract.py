@@ -23,14 +23,16 @@ from lakemart.functions import columns as X
 from lakemart.operators import quality as Q
 from lakemart.operators.aggregates import (count_map, explode_map, exact_median, lower_median, pivot_agg,
                                            pivot_sum, rounded_mean, row_count)
-from lakemart.operators.joins import join_measures, snowflake
+from lakemart.operators.joins import join_measures, snowflake, unique_by
+from lakemart.operators.selection import selected_median
 from lakemart.operators.setops import union_all
 from lakemart.plans import builders as B
 from lakemart.plans import pipeline as P
 from lakemart.session import scratch_dir
 from lakemart.sources.readers import read_csv, read_csv_by_name
-from lakemart.sources.schemas import IMMIGRATION_SCHEMA, TEMPERATURE_OUT_SCHEMA
-from lakemart.sources.sinks import default_writers, read_back, read_output, write_table
+from lakemart.sources.schemas import (AIRPORT_SCHEMA, DEMOGRAPHICS_OUT_SCHEMA, DEMOGRAPHICS_PARTITIONS, IMMIGRATION_SCHEMA,
+                                      TEMPERATURE_OUT_SCHEMA)
+from lakemart.sources.sinks import default_writers, read_back, read_output, write_bucketed, write_table
 
 KEYS = B.FACT_KEYS
 # analogue encodings (fixed for the contract; the oracle SQL repeats them)
@@ -42,6 +44,8 @@ SEGMENT_RACE = {
     "MACHINERY": "White",
 }
 TEMPERATURE_YEAR_SHIFT = 47
+#: Buckets of the bucketed trips, at a size of some GB; a bucket is one task of the joins above it.
+BUCKETS = 32
 
 
 # Schemas of the driver's tables.  Reading with an explicit schema skips the
@@ -95,7 +99,9 @@ def raw_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_discount") == 0, F.lit(None).cast("double"))
          .otherwise(F.col("l_quantity")).alias("i94bir"),
         F.substring("o_orderpriority", 1, 1).cast("double").alias("i94visa"),
-        F.when(F.col("l_returnflag") == "N", F.lit("X")).otherwise(F.col("l_returnflag")).alias("gender"),
+        # some (month, port) groups have no gender at all
+        F.when((F.col("l_suppkey") + F.month("l_shipdate")) % 7 == 0, F.lit(None).cast("string"))
+         .when(F.col("l_returnflag") == "N", F.lit("X")).otherwise(F.col("l_returnflag")).alias("gender"),
         F.col("p_brand").alias("airline"),
         F.col("c_mktsegment").alias("visatype"),
     )
@@ -411,6 +417,72 @@ def q_avg_age(spark, d):
     return trips(spark, d).groupBy(*KEYS).agg(rounded_mean("age").alias("avg_age"))
 
 
+def q_snowflake_by_place(spark, d):
+    """J4 where city names repeat (first letters): each fact row gets the temperature of the nearest city of its name."""
+    first = lambda df: df.withColumn("city", F.substring("city", 1, 1))
+    f = fact(spark, d, with_visits=False, measures=["avg_stay"])
+    return snowflake(f, first(airports(spark, d)), first(demographics(spark, d)).where("false"), first(temperature(spark, d)),
+                     fact_cols=["month", "airport_cd", "avg_stay"], by_place=True).select(
+        "month", "airport_cd", "city", "avg_stay", "median_avg_temp")
+
+
+def _hot_values(spark, d):
+    """Line items in unequal groups of values that all differ; the first has a good part of all rows."""
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    n = F.col("l_linenumber")
+    return li.select(F.when(n <= 2, F.lit(0)).when(n == 7, F.lit(None).cast("int")).otherwise(n).alias("grp"),
+                     (F.col("l_extendedprice") * 1000003.0 + (F.col("l_orderkey") * 8 + n)).alias("v"))
+
+
+def q_hot_median(spark, d):
+    """A3 where a group's values are too many for one buffer: ranks selected over several rounds."""
+    return selected_median(_hot_values(spark, d), ["grp"], "v", "median_v", empty="null", hot_rows=1000)
+
+
+def q_join_measures_bucketed(spark, d):
+    """J1 over a table bucketed by the keys: three aggregates and two joins without a shuffle."""
+    cleaned = trips(spark, d).select(F.coalesce("month", F.lit(0)).alias("month"), "airport_cd", "length_of_stay", "age")
+    t = write_bucketed(cleaned, scratch_dir(spark, "bucketed"), KEYS, BUCKETS)
+    base = t.groupBy(*KEYS).agg(row_count().alias("visits"))
+    stay = t.groupBy(*KEYS).agg(rounded_mean("length_of_stay").alias("avg_stay"))
+    age = t.groupBy(*KEYS).agg(exact_median("age", "null").alias("median_age"))
+    return join_measures(base, [stay, age], KEYS, null_safe=False).withColumn("month", X.null_if("month", 0))
+
+
+def q_pruned_join(spark, d):
+    """K1 + J4 over stored tables: the airports of one state prune the fact's folders at run time."""
+    stored_fact = _stored_fact(spark, d)
+    path = scratch_dir(spark, "airports")
+    write_table(airports(spark, d), path)
+    dim = unique_by(read_back(spark, path, AIRPORT_SCHEMA).where("airport_cd IS NOT NULL AND state = 'R1'"), ["airport_cd"])
+    return stored_fact.join(dim.select("airport_cd", "city"), "airport_cd").select("month", "airport_cd", "city", "avg_stay")
+
+
+def q_dup_refresh_keys(spark, d):
+    """Q2 where keys do repeat: the facts of two refreshes, the second of which covers the first."""
+    t = trips(spark, d).select(*KEYS)
+    first = B.build_immigration(t.where("month <= 6"), measures=())
+    return Q.duplicate_keys(union_all([first, B.build_immigration(t, measures=())]), KEYS)
+
+
+ODD = " a/b=c%d"
+
+
+def q_parquet_roundtrip_airports(spark, d):
+    """K2 + S5: the airports stored and read back row by row."""
+    path = scratch_dir(spark, "airports")
+    write_table(airports(spark, d).withColumn("city", F.concat("city", F.lit(ODD))), path)
+    return read_back(spark, path, AIRPORT_SCHEMA)
+
+
+def q_parquet_roundtrip_cities(spark, d):
+    """K3 + S5: the city table partitioned by names that hold blanks and the characters of paths, read back row by row."""
+    path = scratch_dir(spark, "cities")
+    odd = demographics(spark, d).withColumn("city", F.concat("city", F.lit(ODD)))
+    write_table(odd, path, DEMOGRAPHICS_PARTITIONS, writers=default_writers(spark))
+    return read_back(spark, path, DEMOGRAPHICS_OUT_SCHEMA, DEMOGRAPHICS_PARTITIONS)
+
+
 def q_parquet_roundtrip(spark, d):
     """K4 + S5: write the temperature table partitioned by (month, city), read it back."""
     path = scratch_dir(spark, "temperature")
@@ -446,29 +518,41 @@ def q_parquet_roundtrip_fact(spark, d):
                        F.size("gender").alias("n_genders"), F.size("countries").alias("n_countries"))
 
 
-def _refreshed_fact(spark, d):
-    from lakemart.streaming import start_refresh
-
-    base = scratch_dir(spark, "stream")
+def _landing(spark, d, start):
+    """``start`` (a refresh that stops when all files are read) after the first half-year's files landed, and after the rest."""
     raw = raw_arrivals(spark, d).drop("cicid")
-    src, out, ckpt = f"{base}/arrivals", f"{base}/fact", f"{base}/checkpoint"
-    raw.filter(F.col("i94mon") <= 6).write.parquet(f"{src}/batch1")
-    start_refresh(spark, src, out, ckpt).awaitTermination()
-    raw.filter(F.coalesce(F.col("i94mon") > 6, F.lit(True))).write.parquet(f"{src}/batch2")
-    start_refresh(spark, src, out, ckpt).awaitTermination()
-    return read_back(spark, out, IMMIGRATION_SCHEMA, KEYS)
+    base = scratch_dir(spark, "stream")
+    for name, part in (("batch1", raw.filter(F.col("i94mon") <= 6)),
+                       ("batch2", raw.filter(F.coalesce(F.col("i94mon") > 6, F.lit(True))))):
+        part.write.parquet(f"{base}/arrivals/{name}")
+        start(f"{base}/arrivals", base).awaitTermination()
+    return base
 
 
 def q_stream_refresh_maps(spark, d):
-    """The refreshed fact's five maps in long form, and its ids, unique over both refreshes."""
-    return _maps_long(_refreshed_fact(spark, d))
+    """The fact's five maps in long form, and its ids, after two refreshes that each read their new files only."""
+    from lakemart.streaming import start_merge
+
+    base = _landing(spark, d, lambda src, b: start_merge(spark, src, f"{b}/counts", f"{b}/fact", f"{b}/checkpoint"))
+    return _maps_long(read_back(spark, f"{base}/fact", IMMIGRATION_SCHEMA, KEYS))
+
+
+def q_stable_ids(spark, d):
+    """X13 over two refreshes: ids go on from the first one's, which stay."""
+    from lakemart.streaming import start_refresh
+
+    base = _landing(spark, d, lambda src, b: start_refresh(spark, src, f"{b}/fact", f"{b}/checkpoint", id_path=f"{b}/ids"))
+    return read_back(spark, f"{base}/fact", IMMIGRATION_SCHEMA, KEYS).select(*KEYS, "immigration_id")
 
 
 def q_stream_refresh(spark, d):
     """Structured Streaming refresh: arrival files land in two batches (months
     1-6, then 7-12, together the whole table); after each, the availableNow
     refresh rebuilds the months it saw.  The stored fact is read back."""
-    back = _refreshed_fact(spark, d)
+    from lakemart.streaming import start_refresh
+
+    base = _landing(spark, d, lambda src, b: start_refresh(spark, src, f"{b}/fact", f"{b}/checkpoint"))
+    back = read_back(spark, f"{base}/fact", IMMIGRATION_SCHEMA, KEYS)
     return back.select(*KEYS, "avg_stay",
                        F.nanvl("median_age", F.lit(None).cast("double")).alias("median_age"),
                        F.size("gender").alias("n_genders"), F.size("countries").alias("n_countries"))
@@ -486,15 +570,18 @@ def q_csv_roundtrip(spark, d):
 
 
 def q_union_csv(spark, d):
-    """Plain comma CSV in two layouts (columns in another order, one more), quoted cells; by name."""
+    """One folder of plain comma CSV in three layouts (columns in another order, more of them, one more
+    first), quoted cells; read in one call, by name."""
     base = scratch_dir(spark, "layouts")
     c = table(spark, d, "customer").select(
         "c_custkey", F.concat("c_name", F.lit(", "), "c_mktsegment").alias("label"), "c_acctbal", "c_nationkey")
     debt = F.coalesce(F.col("c_acctbal") < 0, F.lit(False))
-    write_table(c.filter(debt).drop("c_nationkey"), f"{base}/a", fmt="csv", options={"header": "true"})
-    write_table(c.filter(~debt).select("c_nationkey", "c_acctbal", "label", "c_custkey"), f"{base}/b",
-                fmt="csv", options={"header": "true"})
-    back = read_csv_by_name(spark, [f"{base}/a", f"{base}/b"], ["c_custkey", "label", "c_acctbal"])
+    rich = F.coalesce(F.col("c_acctbal") > 5000, F.lit(False))
+    for name, part in (("a", c.filter(debt).drop("c_nationkey")),
+                       ("b", c.filter(~debt & ~rich).select("c_nationkey", "c_acctbal", "label", "c_custkey")),
+                       ("c", c.filter(~debt & rich).select(F.lit("x,y").alias("extra"), "label", "c_custkey", "c_acctbal"))):
+        write_table(part, f"{base}/{name}", fmt="csv", options={"header": "true"})
+    back = read_csv_by_name(spark, base, ["c_custkey", "label", "c_acctbal"], recursive=True)
     return back.select(X.to_long("c_custkey").alias("c_custkey"), "label", X.to_double("c_acctbal").alias("c_acctbal"))
 
 
@@ -604,4 +691,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "airport_dim_strict": q_airport_dim_strict,
     "dup_trip_keys": q_dup_trip_keys,
     "pipeline_all": q_pipeline_all,
+    "hot_median": q_hot_median,
+    "snowflake_by_place": q_snowflake_by_place,
+    "stable_ids": q_stable_ids,
+    "join_measures_bucketed": q_join_measures_bucketed,
+    "pruned_join": q_pruned_join,
+    "dup_refresh_keys": q_dup_refresh_keys,
+    "parquet_roundtrip_airports": q_parquet_roundtrip_airports,
+    "parquet_roundtrip_cities": q_parquet_roundtrip_cities,
 }

@@ -39,7 +39,8 @@ raw_arrivals AS (
          CASE WHEN l_linestatus = 'O' THEN 1.0 ELSE 2.0 END AS i94mode,
          CASE WHEN l_discount = 0 THEN NULL ELSE l_quantity END AS i94bir,
          CAST(substr(o_orderpriority, 1, 1) AS DOUBLE) AS i94visa,
-         CASE WHEN l_returnflag = 'N' THEN 'X' ELSE l_returnflag END AS gender,
+         CASE WHEN (l_suppkey + month(l_shipdate)) % 7 = 0 THEN NULL WHEN l_returnflag = 'N' THEN 'X'
+              ELSE l_returnflag END AS gender,
          p_brand AS airline,
          c_mktsegment AS visatype
   FROM lineitem
@@ -312,4 +313,27 @@ SELECT 'immigration' AS table_name, count(*) AS n_rows, count(*) AS n_keys,
 UNION ALL SELECT 'airports', count(*), count(DISTINCT city), count(airport_cd) FROM airports
 UNION ALL SELECT 'demographics', count(*), count(DISTINCT (city, state)), CAST(sum(white_pop) AS BIGINT) FROM demographics
 UNION ALL SELECT 'temperature', count(*), count(DISTINCT city), CAST(sum(month) AS BIGINT) FROM temperature""",
+    "hot_median": (
+        "WITH x AS (SELECT CASE WHEN l_linenumber <= 2 THEN 0 WHEN l_linenumber = 7 THEN NULL ELSE l_linenumber END AS grp, "
+        "l_extendedprice * CAST(1000003 AS DOUBLE) + CAST(l_orderkey * 8 + l_linenumber AS DOUBLE) AS v FROM lineitem) "
+        + _median("x", ["grp"], "v", "median_v")),
+    "snowflake_by_place": _with(FACT, AIRPORTS, TEMPERATURE) + """,
+a AS (SELECT airport_cd, substr(city, 1, 1) AS city, latitude, longitude FROM airports WHERE airport_cd IS NOT NULL),
+t AS (SELECT month, substr(city, 1, 1) AS city, latitude, longitude, median_avg_temp FROM temperature),
+near AS (SELECT airport_cd, p.latitude, p.longitude FROM a JOIN (SELECT DISTINCT city, latitude, longitude FROM t) p USING (city)
+  QUALIFY row_number() OVER (PARTITION BY airport_cd ORDER BY (a.latitude - p.latitude) * (a.latitude - p.latitude)
+    + least(abs(a.longitude - p.longitude), 360 - abs(a.longitude - p.longitude))
+      * least(abs(a.longitude - p.longitude), 360 - abs(a.longitude - p.longitude)), p.latitude, p.longitude) = 1)
+SELECT f.month, f.airport_cd, a.city, f.avg_stay, t.median_avg_temp
+FROM fact f JOIN a ON f.airport_cd = a.airport_cd LEFT JOIN near n ON n.airport_cd = a.airport_cd
+LEFT JOIN t ON t.city = a.city AND t.month = f.month AND t.latitude = n.latitude AND t.longitude = n.longitude""",
+    "stable_ids": _with(TRIPS) + (
+        "SELECT month, airport_cd, row_number() OVER (ORDER BY coalesce(month > 6, true), month NULLS FIRST, airport_cd) - 1 "
+        f"AS immigration_id FROM {FACT_KEYS_DISTINCT}"),
+    "join_measures_bucketed": _with(FACT) + "SELECT month, airport_cd, visits, avg_stay, median_age FROM fact",
+    "pruned_join": _with(FACT, AIRPORTS) + (
+        "SELECT f.month, f.airport_cd, a.city, f.avg_stay FROM fact f JOIN airports a ON f.airport_cd = a.airport_cd WHERE a.state = 'R1'"),
+    "dup_refresh_keys": _with(TRIPS) + f"SELECT count(*) AS duplicate_keys FROM {FACT_KEYS_DISTINCT} WHERE month <= 6",
+    "parquet_roundtrip_airports": _with(AIRPORTS) + "SELECT * REPLACE (city || ' a/b=c%d' AS city) FROM airports",
+    "parquet_roundtrip_cities": _with(DEMOGRAPHICS) + "SELECT * REPLACE (city || ' a/b=c%d' AS city) FROM demographics",
 }

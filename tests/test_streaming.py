@@ -80,3 +80,50 @@ def test_refresh_months_literal_path(spark, sf001):
     # NULL month in the list keeps the month-less arrivals
     with_null = arr.unionByName(arr.limit(1).withColumn("i94mon", F.lit(None).cast("double")))
     assert _scope_to_months(with_null, [None]).count() == 1
+
+
+def _maps(df):
+    maps = ("gender", "trip_purpose", "visa_type", "countries", "airlines")
+    return sorted(((r.month, r.airport_cd, *(tuple(sorted(r[m].items())) for m in maps)) for r in df.collect()), key=repr)
+
+
+def test_merge_reads_new_files_only_and_matches_a_full_build(spark, sf001):
+    """Batches that overlap in months and in profiles; the first files are gone when the second come."""
+    from lakemart.streaming import start_merge
+    from lakemart.streaming.merge import read_counts
+
+    raw = C.raw_arrivals(spark, sf001).drop("cicid")
+    base = scratch_dir(spark, "merge")
+    src, out, counts, ckpt, ids = (f"{base}/{x}" for x in ("arrivals", "fact", "counts", "ckpt", "ids"))
+    parts = [raw.filter("i94mon <= 6"), raw.filter("i94mon >= 5 OR i94mon IS NULL"), raw.filter("i94mon = 2")]
+    for i, part in enumerate(parts):
+        part.write.mode("overwrite").parquet(f"{src}/now")  # new files in place of the old ones
+        start_merge(spark, src, counts, out, ckpt, id_path=ids).awaitTermination()
+        assert read_counts(spark, counts).select("batch").distinct().count() <= i + 1
+    got = read_back(spark, out, IMMIGRATION_SCHEMA, IMMIGRATION_PARTITIONS)
+    want = B.build_immigration(B.clean_arrivals(raw))
+    assert _maps(got) == _maps(want)
+    assert _scalar_rows(got) == _scalar_rows(want)
+    assert sorted(r.immigration_id for r in got.collect()) == list(range(want.count()))
+
+
+def test_a_repeated_merge_batch_changes_nothing(spark, sf001):
+    from lakemart.streaming import merge_batch
+
+    clean = B.clean_arrivals(C.raw_arrivals(spark, sf001).filter("i94mon <= 3"))
+    base = scratch_dir(spark, "again")
+    for _ in range(2):
+        merge_batch(clean, 0, f"{base}/counts", f"{base}/fact")
+    got = read_back(spark, f"{base}/fact", IMMIGRATION_SCHEMA, IMMIGRATION_PARTITIONS)
+    assert _maps(got) == _maps(B.build_immigration(clean))
+
+
+def test_csv_refresh_of_two_layouts(spark, sf001):
+    raw = C.raw_arrivals(spark, sf001).drop("cicid")
+    base = scratch_dir(spark, "csv")
+    src, out, ckpt = f"{base}/arrivals", f"{base}/fact", f"{base}/ckpt"
+    for i, part in enumerate((raw.filter("i94mon <= 6"), raw.filter("i94mon > 6").select(*reversed(raw.columns)))):
+        part.write.option("header", True).csv(f"{src}/{i} [x]")
+        start_refresh(spark, src, out, ckpt, fmt="csv").awaitTermination()
+    got = read_back(spark, out, IMMIGRATION_SCHEMA, IMMIGRATION_PARTITIONS)
+    assert _maps(got) == _maps(B.build_immigration(B.clean_arrivals(raw)))
