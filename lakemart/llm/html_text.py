@@ -13,7 +13,6 @@ from __future__ import annotations
 import html
 import random
 import re
-from collections import Counter
 from functools import lru_cache
 
 import numpy as np
@@ -26,17 +25,21 @@ from lakemart.llm.textblocks import map_batches
 #: Labelled pages made for training, and passes over them.
 PAGES, EPOCHS = 700, 6
 
-_TOKEN = re.compile(r"<!--(.*?)(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>"
-                    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
-_NAMES = re.compile(r"""(?<![\w-])(?:class|id|role)\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++))""", re.I)
+# An attribute as HTML's tokenizer reads it: a quote opens a value behind "=" alone, elsewhere it is part of a name.
+_VALUE = r"""\s*+=\s*+(?:"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z)|[^\s>"'][^\s>]*+)?+"""
+# What is left open at the page's end goes on to it, so each character is read once.
+_TOKEN = re.compile(r"<!--(?:-?>|(.*?)(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?:[!?]|/(?![a-zA-Z]|\Z))[^>]*+(?:>|\Z)"
+                    rf"|<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|[^\s/>][^\s/>=]*+(?:{_VALUE})?+)*+)(?:>|\Z)", re.S)
+_ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*+)(?:"|\Z)|'([^']*+)(?:'|\Z)|([^\s>"'][^\s>]*+))?+)?+""")
+_NAMING = frozenset(("class", "id", "role"))
 _SPACE = re.compile(r"[ \t\n\r\f\v   -     　\u0085]+")
 #: Contents of these elements are no text of the page.  Raw ones have no tags inside and, left open, go on to the
 #: page's end; the others hold tags, and left open they end with their parent or at a block's tag.
 _RAW = frozenset("script style textarea title iframe".split())
 _HIDDEN = frozenset("noscript template svg object audio video canvas select datalist".split())
 _ANY_HIDDEN = re.compile(rf"<(?:{'|'.join(sorted(_HIDDEN))})(?=[\s/>])", re.I)
-_NOSCRIPT = re.compile(r"<(/?)noscript(?=[\s/>])[^>]*+>", re.I)
-_RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*+>", re.I) for t in _RAW}
+_NOSCRIPT = re.compile(r"<(/?)noscript(?=[\s/>])[^>]*+(?:>|\Z)", re.I)
+_RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*+(?:>|\Z)", re.I) for t in _RAW}
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset(("address article aside blockquote body button center dd details dialog dir div dl dt fieldset figcaption figure footer "
                     "form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre search section "
@@ -77,47 +80,75 @@ class Leaf:
 def _open_names(tag: str, attributes: str) -> tuple[str, ...]:
     names = ["<" + tag]
     if attributes and "=" in attributes:
-        for m in _NAMES.finditer(attributes):
-            value = (m[1] or m[2] or m[3] or "").lower()
+        for m in _ATTRIBUTE.finditer(attributes):
+            if m[1].lower() not in _NAMING:
+                continue
+            value = (m[2] or m[3] or m[4] or "").lower()
             names += ["." + w for w in re.split(r"[^a-z0-9]+", value) if w]
             names += ["." + w for w in value.split() if not w.isalnum()]
     return tuple(names)
 
 
+class Places:
+    """Where the open elements of each tag stand in a stack, so that none has to be looked for along it."""
+
+    def __init__(self):
+        self._of: dict[str, list[int]] = {}
+
+    def push(self, tag: str, at: int) -> None:
+        self._of.setdefault(tag, []).append(at)
+
+    def pop(self, tag: str) -> None:
+        self._of[tag].pop()
+
+    def last(self, tag: str) -> int:
+        """The innermost open element of the tag, -1 if there is none."""
+        own = self._of.get(tag)
+        return own[-1] if own else -1
+
+    def innermost(self, tags) -> int:
+        return max(map(self.last, tags))
+
+
 def _hidden_ends(page: str) -> dict[int, int]:
     """Where each hidden element that has an end tag of its own ends, by its start; the others were left open."""
     found: dict[int, int] = {}
     if not _ANY_HIDDEN.search(page):
         return found
     stack: list[tuple[str, int]] = []
-    held, at = Counter(), 0
+    places, walls, at = Places(), [], 0  # walls: blocks that an inline end tag doesn't reach beyond
+
+    def cut(i):
+        for t, _ in reversed(stack[i:]):
+            places.pop(t)
+            if t in _BLOCK and t != "option":
+                walls.pop()
+        del stack[i:]
+
     while m := _TOKEN.search(page, at):
         at = m.end()
         if m[3] is None:
             continue
         tag = m[3].lower()
         if m[2]:
-            if not held[tag]:
+            i = places.last(tag)
+            if i < 0 or (tag not in _BLOCK and tag not in _HIDDEN and walls and walls[-1] > i):
                 continue
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    if tag in _HIDDEN:
-                        found[stack[i][1]] = at
-                    held.subtract(t for t, _ in stack[i:])
-                    del stack[i:]
-                    break
-                if tag not in _BLOCK and tag not in _HIDDEN and stack[i][0] in _BLOCK and stack[i][0] != "option":
-                    break
+            if tag in _HIDDEN:
+                found[stack[i][1]] = at
+            cut(i)
         elif m[4].endswith("/") or tag in _VOID:
             continue
-        elif tag in _RAW and not held["svg"]:
+        elif tag in _RAW and places.last("svg") < 0:
             end = _RAW_END[tag].search(page, at)
             at = end.end() if end else len(page)
         elif tag == "noscript" and (end := _NOSCRIPT.search(page, at)) and end[1]:
             at = found[m.start()] = end.end()
         else:
+            places.push(tag, len(stack))
+            if tag in _BLOCK and tag != "option":
+                walls.append(len(stack))
             stack.append((tag, m.start()))
-            held[tag] += 1
     return found
 
 
@@ -128,6 +159,7 @@ def leaves(page: str) -> list[Leaf]:
     held: set[str] = set()  # the names of all open elements
     run: list[str] = []
     linked, label, at = 0, 0, 0
+    places, walls = Places(), []
     ends, muted = _hidden_ends(page), None  # muted: the place in the stack of a hidden element that was left open
 
     def close_block():
@@ -152,14 +184,20 @@ def leaves(page: str) -> list[Leaf]:
         up = stack[-1] if stack else None
         own = [*dict.fromkeys(n for n in names if n not in held)]
         held.update(own)
+        places.push(tag, len(stack))
+        if tag in _BLOCK:
+            walls.append(len(stack))
         stack.append(Open(tag, own, tag if tag in _BLOCK else up.block if up else "", up))
 
     def cut(i):
         nonlocal muted
         if muted is not None and i <= muted:
             muted = None
-        for e in stack[i:]:
+        for e in reversed(stack[i:]):
             held.difference_update(e.names)
+            places.pop(e.tag)
+            if e.tag in _BLOCK:
+                walls.pop()
         del stack[i:]
 
     while at < len(page):
@@ -181,12 +219,9 @@ def leaves(page: str) -> list[Leaf]:
         if m[2]:
             if tag in _BLOCK and muted is None:
                 close_block()
-            for i in range(len(stack) - 1, -1, -1) if "<" + tag in held else ():
-                if stack[i].tag == tag:
-                    cut(i)
-                    break
-                if tag not in _BLOCK and stack[i].tag in _BLOCK:
-                    break
+            i = places.last(tag)
+            if i >= 0 and (tag in _BLOCK or not walls or walls[-1] < i):
+                cut(i)
             continue
         if tag in _RAW and not m[4].endswith("/") and "<svg" not in held:
             end = _RAW_END[tag].search(page, at)
@@ -203,10 +238,7 @@ def leaves(page: str) -> list[Leaf]:
         elif tag in _BLOCK:
             close_block()
             closes, stop = _ENDS.get(tag, ({"p"}, _SCOPE))
-            while True:
-                i = next((j for j in range(len(stack) - 1, -1, -1) if stack[j].tag in closes or stack[j].tag in stop), -1)
-                if i < 0 or stack[i].tag not in closes:
-                    break
+            while (i := places.innermost(closes)) >= 0 and i >= places.innermost(stop):
                 cut(i)
         elif tag in ("br", "wbr"):
             run.append(" " if tag == "br" else "")
