@@ -1,9 +1,11 @@
 """Deterministic sharded WARC writer and reader (operator 8).
 
-Pages are sorted into ranges by id, and each range is written by one task as a
-run of files, each record a gzip member of its own.  A file is closed once its
-compressed size reaches ``file_bytes``.  Headers, record ids and digests are
-made anew from the page, so the same table gives the same bytes.  A file is
+Pages are sorted into ranges by id, and each range (a shard) is written by one
+task as a run of files, each record a gzip member of its own.  A file is closed once its
+compressed size reaches ``file_bytes``.  The ranges come from exact sums of
+payload bytes by id, not from a sample, and files are named by their shard; headers, record
+ids and digests are made anew from the page.  So the same table gives the same
+files, byte for byte, however it is partitioned and wherever it is written.  A file is
 written under a temporary name and renamed when whole; the table of finished
 files (the manifest) is written last, and readers open only what it lists.  A
 task that is run again writes the same files under the same names.
@@ -22,7 +24,9 @@ import base64
 import hashlib
 import uuid
 import zlib
+from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,17 +36,111 @@ from lakemart.llm.textblocks import map_batches
 
 FILE_BYTES = 32 << 20
 DATE = "2000-01-01T00:00:00Z"
-_PAGE = "page_id long, url string, payload binary, digest string, refers_to long, revisit boolean"
 _MANIFEST = "file string, records long, bytes long, first_id long, last_id long, sha256 string"
 
 
+#: Schemes of Hadoop's file systems by Arrow's names for them.
+_SCHEMES = {"file": "file", "hdfs": "hdfs", "viewfs": "viewfs", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "abfs": "abfs", "abfss": "abfss"}
+
+
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with the scheme and host that Spark resolves it to, in a scheme that Arrow opens."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    full = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    scheme, _, rest = full.partition(":")
+    if scheme not in _SCHEMES:
+        raise ValueError(f"archives can't be written to {scheme}: paths, but to {', '.join(sorted(_SCHEMES))}")
+    return f"{_SCHEMES[scheme]}:{rest}"
+
+
 def _store(uri: str):
-    """(Arrow file system, path) of a folder."""
+    """(Arrow file system, path) of a qualified folder."""
     from pyarrow import fs
 
     if uri.startswith("file:"):
         return fs.LocalFileSystem(), "/" + uri[5:].lstrip("/")
-    return fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), uri)
+    return fs.FileSystem.from_uri(uri)
+
+
+#: Ranges that the ids of a table are cut into at least, so that a small table is written by several tasks too.
+LEAST_SHARDS = 32
+#: Bytes that a record counts beside its payload.
+RECORD_BYTES = 600
+
+
+@dataclass
+class Shards:
+    """Which shard a page belongs to: by the ranges of ids; single ids of more than a shard's bytes by their digest too."""
+
+    starts: np.ndarray
+    shard: np.ndarray
+    heavy: dict[int | None, tuple[int, int]]
+
+    def of(self, ids: pa.Array, digests: pa.Array) -> np.ndarray:
+        none = ids.is_null().to_numpy(zero_copy_only=False)
+        own = ids.fill_null(0).to_numpy(zero_copy_only=False)
+        out = np.zeros(len(own), np.int64)
+        if len(self.starts):
+            out = self.shard[np.maximum(np.searchsorted(self.starts, own, "right") - 1, 0)].copy()
+        for i in np.flatnonzero(none | np.isin(own, [h for h in self.heavy if h is not None])).tolist() if self.heavy else ():
+            first, n = self.heavy.get(None if none[i] else int(own[i]), (None, 1))
+            if first is not None:
+                out[i] = first + (int(digests[i].as_py()[:8], 16) * n >> 32)
+        return out
+
+
+def _edges(lo: int, hi: int, n: int) -> list[int]:
+    """Starts of about n equally wide ranges of the ids lo..hi."""
+    width = -(-(hi - lo + 1) // max(1, n))
+    return list(range(lo, hi + 1, width))
+
+
+def plan_shards(sizes: DataFrame, shard_bytes: int) -> Shards:
+    """Shards of about ``shard_bytes`` from (page_id, bytes), one row for each id.
+
+    Ranges of ids are cut again where they hold more than a shard, down to single
+    ids; only the sums of the ranges, whose number follows from the bytes, come to
+    the driver.
+    """
+    total, lo, hi, unnamed = sizes.agg(
+        F.sum("bytes"), F.min("page_id"), F.max("page_id"), F.sum(F.when(F.col("page_id").isNull(), F.col("bytes")))).first()
+    if total is None:
+        return Shards(np.zeros(0, np.int64), np.zeros(0, np.int64), {})
+    limit = max(1, min(shard_bytes, -(-total // LEAST_SHARDS)))
+    heavy: dict[int | None, tuple[int, int]] = {}
+    now, starts, shards = 0, [], []
+    if unnamed:
+        n = -(-unnamed // limit)
+        heavy[None], now = (0, n), n
+    if lo is not None:
+        edges = _edges(lo, hi, 4 * -(-total // limit))
+        while True:
+            own = np.array(edges, np.int64)
+
+            def placed(batches, own=own):
+                for batch in batches:
+                    at = own[np.searchsorted(own, batch.column("page_id").to_numpy(), "right") - 1]
+                    yield pa.RecordBatch.from_arrays([pa.array(at), batch.column("bytes")], names=["start", "bytes"])
+
+            done = {r[0]: r[1] for r in sizes.where("page_id IS NOT NULL").mapInArrow(placed, "start long, bytes long")
+                    .groupBy("start").agg(F.sum("bytes")).collect()}
+            ends = dict(zip(edges, [*edges[1:], hi + 1], strict=True))
+            large = [a for a in edges if done.get(a, 0) > limit and ends[a] - a > 1]
+            if not large:
+                break
+            edges = sorted({*edges, *(b for a in large for b in _edges(a, ends[a] - 1, 64))})
+        held = 0
+        for a in edges:
+            size = done.get(a, 0)
+            if held and held + size > limit:
+                now, held = now + 1, 0
+            starts.append(a)
+            shards.append(now)
+            held += size
+            if size > limit:  # one id
+                n = -(-size // limit)
+                heavy[a], now, held = (now, n), now + n, 0
+    return Shards(np.array(starts, np.int64), np.array(shards, np.int64), heavy)
 
 
 def base32_sha1(data: bytes) -> str:
@@ -76,7 +174,7 @@ def _record(page_id, url: str | None, payload: bytes, digest: str, revisit: bool
 
 
 class _Files:
-    """The run of files of one task."""
+    """The run of files of one shard."""
 
     def __init__(self, folder: str, part: int, limit: int):
         self.fs, self.path = _store(folder)
@@ -104,13 +202,16 @@ class _Files:
 
 def _writer(folder: str, limit: int, min_bytes: int):
     def write(batches):
-        from pyspark import TaskContext
-
-        files = _Files(folder, TaskContext.get().partitionId(), limit)
-        mark, before, ordinal = None, None, 0
+        files, rows, mark, before, ordinal = None, [], None, None, 0
         for batch in batches:
-            columns = [batch.column(c) for c in ("page_id", "url", "payload", "digest", "refers_to", "revisit")]
-            for page_id, url, payload, digest, refers_to, revisit in zip(*(c.to_pylist() for c in columns)):
+            columns = [batch.column(c) for c in ("shard", "page_id", "url", "payload", "digest", "refers_to", "revisit")]
+            for shard, page_id, url, payload, digest, refers_to, revisit in zip(*(c.to_pylist() for c in columns)):
+                if files is None or files.part != shard:
+                    if files is not None:
+                        files.close()
+                    files = _Files(folder, shard, limit)
+                    rows.append(files.rows)
+                    mark, before, ordinal = None, None, 0
                 if revisit:  # sorted before its page
                     mark = (page_id, digest, refers_to)
                     continue
@@ -123,19 +224,24 @@ def _writer(folder: str, limit: int, min_bytes: int):
                     files.add(page_id, _record(page_id, url, payload, code, True, page_id, ordinal))
                 else:
                     files.add(page_id, _record(page_id, url, payload, code, False, None, ordinal))
-        files.close()
-        if files.rows:
+        if files is not None:
+            files.close()
+        if any(rows):
             yield pa.RecordBatch.from_pylist(
-                [dict(zip(("file", "records", "bytes", "first_id", "last_id", "sha256"), r)) for r in files.rows],
+                [dict(zip(("file", "records", "bytes", "first_id", "last_id", "sha256"), r)) for own in rows for r in own],
                 schema=pa.schema([("file", pa.string()), ("records", pa.int64()), ("bytes", pa.int64()),
                                   ("first_id", pa.int64()), ("last_id", pa.int64()), ("sha256", pa.string())]))
 
     return write
 
 
-def write_warc(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES, min_bytes: int = 0) -> DataFrame:
+def write_warc(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES, min_bytes: int = 0,
+               shard_bytes: int | None = None) -> DataFrame:
     """Write a record for each row of ``pages`` (page_id, url, html) to ``folder``; returns the manifest.
 
+    A shard has about ``shard_bytes`` bytes of payloads (default: four files),
+    or a 32nd of the table if that is less; its number and files depend on the
+    table's rows alone.
     Of rows with equal payloads of at least ``min_bytes`` bytes the one with the
     least id is a response and the others are revisits of it; smaller payloads
     are all responses.  Of repeated rows with that id and payload the first is the response.
@@ -150,6 +256,15 @@ def write_warc(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES, min_
     own = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                        F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary").alias("payload"))
     own = own.withColumn("digest", F.sha1("payload"))
+    store = qualified(spark, folder)
+    sizes = stored(own.groupBy("page_id").agg(F.sum(F.octet_length("payload") + F.lit(RECORD_BYTES).cast("long")).alias("bytes")),
+                   spark, "warc-sizes")
+    shards = spark.sparkContext.broadcast(plan_shards(sizes, shard_bytes or 4 * file_bytes))
+
+    @F.arrow_udf("long")
+    def shard(ids: pa.Array, digests: pa.Array) -> pa.Array:
+        return pa.array(shards.value.of(ids, digests))
+
     keys = own.where(F.octet_length("payload") >= min_bytes).select("page_id", "digest")
     twice = (keys.groupBy("digest").agg(F.min("page_id").alias("least"), F.max("page_id").alias("most"),
                                         (F.count("*") > F.count("page_id")).alias("unnamed"))
@@ -159,11 +274,12 @@ def write_warc(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES, min_
     rows = (own.withColumns({"refers_to": F.lit(None).cast("long"), "revisit": F.lit(False)})
             .select("page_id", "url", "payload", "digest", "refers_to", "revisit")
             .unionByName(marks.withColumn("revisit", F.lit(True)), allowMissingColumns=True)
-            .repartitionByRange("page_id", "digest")
-            .sortWithinPartitions("page_id", "digest", F.desc("revisit"), "url"))
-    fs, path = _store(folder)
+            .withColumn("shard", shard("page_id", "digest"))
+            .repartition("shard")
+            .sortWithinPartitions("shard", "page_id", "digest", F.desc("revisit"), "url"))
+    fs, path = _store(store)
     fs.create_dir(path, recursive=True)
-    files = rows.mapInArrow(_writer(folder, file_bytes, min_bytes), _MANIFEST)
+    files = rows.mapInArrow(_writer(store, file_bytes, min_bytes), _MANIFEST)
     files.write.mode("overwrite").parquet(f"{folder}/manifest")
     return spark.read.schema(_MANIFEST).parquet(f"{folder}/manifest")
 
@@ -201,12 +317,13 @@ def _parse(data: bytes) -> dict:
 
 def read_warc(spark: SparkSession, folder: str, payloads: bool = True) -> DataFrame:
     """The records of the files that the manifest lists; digests are checked on the way."""
+    store = qualified(spark, folder)
     schema = ("page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
               + (", payload binary" if payloads else ""))
 
     def read(batch):
         for name in batch.column("file").to_pylist():
-            fs, path = _store(folder)
+            fs, path = _store(store)
             with fs.open_input_stream(f"{path}/{name}", compression=None) as stream:
                 rows = []
                 size = 0
@@ -222,3 +339,16 @@ def read_warc(spark: SparkSession, folder: str, payloads: bool = True) -> DataFr
     files = spark.read.schema(_MANIFEST).parquet(f"{folder}/manifest").select("file")
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))  # a stated number is not coalesced by size
     return map_batches(files.repartition(tasks, "file"), read, schema)
+
+
+def oracle_sql() -> str:
+    """DuckDB SQL for ``op8_warc``'s rows: base 32 from five hex digits at a time."""
+    return """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS h FROM pages),
+least_ AS (SELECT h, min(page_id) AS first FROM p GROUP BY h)
+SELECT page_id, n AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + ((CAST('0x' || substr(h, 1 + 5 * (j // 4), 5) AS BIGINT) >> (15 - 5 * (j % 4))) & 31), 1)), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM p JOIN least_ USING (h)"""
