@@ -24,15 +24,17 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.textblocks import map_batches
+from lakemart.llm.textblocks import keep, map_batches
 
-#: Bytes of each memory of a process, by the sizes that CPython gives its objects, before it is emptied.  All of them
-#: are emptied when a task's batches are through.
-WORDS_BYTES, PREFIX_BYTES, APART_BYTES = 48 << 20, 8 << 20, 24 << 20
+#: Bytes of each memory of a process, by the sizes that CPython gives its objects, before it is emptied.  Tasks of this
+#: operator hand them on; another operator's task empties them all.
+WORDS_BYTES, HEADS_BYTES, APART_BYTES = 112 << 20, 8 << 20, 32 << 20
 #: A dict's slot and entry, and a small int.
 _SLOT, _INT = 104, 32
-#: Pieces of so many bytes share the memory of prefixes.
-SHORT = 24
+#: Pieces share the last tokens of prefixes of so many bytes.
+HEAD = 6
+#: Pieces of so many bytes are encoded with plain lists.
+SHORT = 64
 
 
 class Vocabulary:
@@ -50,15 +52,15 @@ class Vocabulary:
         for end, found in ends.items():
             self.lengths[end] = tuple(sorted(found, reverse=True))
         self.packed = {r: r.to_bytes(4, "little") for r in self.tokens}
-        #: last token of each prefix of the short pieces seen
-        self.last: dict[bytes, int] = {}
+        #: the last tokens of all prefixes of the pieces' first bytes seen
+        self.heads: dict[bytes, list[int]] = {}
         self._apart: dict[int, bool] = {}
         self._halves: dict[int, tuple[int, int] | None] = {}
         self._edges: dict[tuple[int, int], list[tuple[bytes, int]]] = {}
 
     def forget(self) -> None:
         """Empty the memories; what follows from the ranks alone stays."""
-        self.last.clear()
+        self.heads.clear()
         self._apart.clear()
         self._halves.clear()
         self._edges.clear()
@@ -119,41 +121,40 @@ class Vocabulary:
             self._apart[key] = known
         return known
 
-    def last_token(self, data: bytes, i: int, before: list[int] | None = None) -> int:
-        """The last token of the encoding of data[:i].
-
-        ``before`` has the last tokens of the shorter prefixes; without it they are in ``last``.
-        """
-        get, apart = self.ranks.get, self._apart
-        for n in self.lengths.get(data[i - 4:i], (3, 2, 1)) if i >= 4 else (3, 2, 1):
-            if n < i:
-                j = i - n
-                t = get(data[j:i])
-                if t is not None:
-                    left = before[j] if before is not None else self.last[data[:j]]
-                    known = apart.get(left << 20 | t)
-                    if known or (known is None and self.apart(left, t)):
-                        return t
-            elif n == i:
-                t = get(data[:i])
-                if t is not None and self.halves(t) is not None:
-                    return t
-        raise ValueError("a byte of the text is not in the vocabulary")
+    def extend(self, data: bytes, last: list[int]) -> list[int]:
+        """``last`` has the last tokens of the encodings of data's prefixes so far; those of the longer ones are added."""
+        get, apart, lengths = self.ranks.get, self._apart, self.lengths.get
+        for i in range(len(last), len(data) + 1):
+            for n in lengths(data[i - 4:i], (3, 2, 1)) if i >= 4 else (3, 2, 1):
+                if n < i:
+                    t = get(data[i - n:i])
+                    if t is not None:
+                        left = last[i - n]
+                        known = apart.get(left << 20 | t)
+                        if known or (known is None and self.apart(left, t)):
+                            last.append(t)
+                            break
+                elif n == i:
+                    t = get(data[:i])
+                    if t is not None and self.halves(t) is not None:
+                        last.append(t)
+                        break
+            else:
+                raise ValueError("a byte of the text is not in the vocabulary")
+        return last
 
     def encode_short(self, piece: bytes) -> list[int]:
-        """Ids of a piece, going on from the longest of its prefixes seen before; all its prefixes are kept."""
-        seen = self.last
-        if len(seen) >= PREFIX_BYTES // (_SLOT + _INT + 33 + SHORT):
-            seen.clear()
-        end = i = len(piece)
-        while i and piece[:i] not in seen:
-            i -= 1
-        while i < end:
-            i += 1
-            seen[piece[:i]] = self.last_token(piece, i)
-        out, tokens = [], self.tokens
+        """Ids of a piece, going on from the prefixes of its first bytes, which many pieces share."""
+        head = piece[:HEAD]
+        known = self.heads.get(head)
+        if known is None:
+            if len(self.heads) >= HEADS_BYTES // (_SLOT + 33 + HEAD + 88 + HEAD * (8 + _INT)):
+                self.heads.clear()
+            known = self.heads[head] = self.extend(head, [-1])
+        last = self.extend(piece, known.copy()) if len(piece) > HEAD else known
+        out, i, tokens = [], len(piece), self.tokens
         while i:
-            t = seen[piece[:i]]
+            t = last[i]
             out.append(t)
             i -= len(tokens[t])
         return out[::-1]
@@ -168,10 +169,8 @@ class Prefixes:
 
     def append(self, more: bytes) -> Prefixes:
         """Go on from the stored prefixes."""
-        last, last_token = self.last, self.vocabulary.last_token
-        data = self.data = self.data + more
-        for i in range(len(last), len(data) + 1):
-            last.append(last_token(data, i, last))
+        self.data += more
+        self.vocabulary.extend(self.data, self.last)
         return self
 
     def replace(self, start: int, end: int, by: bytes) -> Prefixes:
@@ -278,6 +277,7 @@ def encode_documents(docs: DataFrame, ranks: bytes, pattern: str, id_col: str =
 
     def rows(batch):
         encoder = _encoder(sent.value, pattern)
+        keep("bpe", encoder.forget)
         n, ids_sha, own_sha, ids = [], [], [], []
         for text in batch.column("text").to_pylist():
             packed = encoder.encode(text or "")
@@ -290,5 +290,4 @@ def encode_documents(docs: DataFrame, ranks: bytes, pattern: str, id_col: str =
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return map_batches(texts, rows, schema + (", ids array<int>" if keep_ids else ""),
-                       end=lambda: _encoder(sent.value, pattern).forget())
+    return map_batches(texts, rows, schema + (", ids array<int>" if keep_ids else ""), memory="bpe")

@@ -11,25 +11,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.session import scratch_dir
+from lakemart import session
+from lakemart.session import removed
 
 
 def stored_at(df: DataFrame, spark: SparkSession, name: str) -> tuple[str, DataFrame]:
     """Write to a new folder of the shared scratch folder and read back: (folder, rows)."""
-    path = scratch_dir(spark, name)
-    df.write.parquet(path)
-    return path, spark.read.schema(df.schema).parquet(path)
+    return session.stored_at(df, name)
 
 
 def stored(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
     """Write to the shared scratch folder and read back."""
-    return stored_at(df, spark, name)[1]
-
-
-def removed(spark: SparkSession, path: str) -> None:
-    """Remove a folder made by ``stored_at`` whose rows nothing reads any more."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    return session.stored(df, name)
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -51,14 +44,16 @@ def connected_components(edges: DataFrame, spark: SparkSession) -> DataFrame:
     Self-edges and repeated edges do no harm; edges with a null end are left
     out; no edges give no rows.
     """
-    cur = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-                 .where("a IS NOT NULL AND b IS NOT NULL AND u > v").distinct(), spark, "cc")
+    path, cur = stored_at(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+                          .where("a IS NOT NULL AND b IS NOT NULL AND u > v").distinct(), spark, "cc")
     before = None
     while True:
         now = tuple(cur.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
         if now == before or not now[0]:
             break
         before = now
-        cur = stored(_star(_star(cur, True), False), spark, "cc")
+        old = path
+        path, cur = stored_at(_star(_star(cur, True), False), spark, "cc")
+        removed(spark, old)
     return (cur.select(F.col("u").alias("node"), F.col("v").alias("component"))
             .unionAll(cur.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct())

@@ -9,10 +9,11 @@ The hash space is cut into one range more than that, so one range holds the
 same shingles in both.  A set emits a key for the contents of each of its
 ranges; the number of ranges depends on a size class, and a set just below a
 class border also emits the upper class's keys.  A range that is empty in
-both gives no key: sets of few ranges with an empty one also emit their
+both gives no key.  If all equal ranges of a linked pair are empty, each shingle
+of either set lies in a range where they differ, so neither set fills more
+ranges than it can differ in shingles.  Sets that fill so few also emit their
 prefix (the first n - ceil(t*n) + 1 shingles), one of which every linked pair
-shares; with more than FEW_RANGES ranges the odds that all equal ranges are
-empty are below 1e-12.  Sets that share keys, directly or through others,
+shares.  An eighth more ranges than needed makes that rare.  Sets that share keys, directly or through others,
 form a candidate component; each set is in one, so its shingles are shuffled
 once, not once for each key.
 
@@ -37,16 +38,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.components import connected_components, stored
+from lakemart.llm.components import connected_components, removed, stored, stored_at
 from lakemart.llm.textblocks import SPACE_WORD, U, blocks, list_column, map_batches, mix, packed, shingles, unpacked
 
-#: Sets with at most so many ranges, one of them empty, emit their prefix as well.
-FEW_RANGES = 32
-#: Sets in one block of a large component.
-BLOCK_SETS = 512
+#: Sets, and shingles of them all, in one block of a large component.
+BLOCK_SETS, BLOCK_SHINGLES = 512, 1 << 20
 #: Sets of one key up to which sketches are compared, and the least bits of a sketch.
 FULL_KEY, SKETCH_BITS = 4096, 1024
 
@@ -75,8 +74,13 @@ class Threshold:
         return [c, c + 1] if n * self.den >= self.num * self.class_floor(c + 1) else [c]
 
     def ranges(self, c: int) -> int:
-        """One more than two linked sets of class c can differ in."""
-        return (self.den - self.num) * 2 * (self.class_floor(c + 1) - 1) // (self.den + self.num) + 1
+        """More than two linked sets of class c can differ in, by one and an eighth; 1 if they can't differ."""
+        most = (self.den - self.num) * 2 * (self.class_floor(c + 1) - 1) // (self.den + self.num)
+        return most + 1 + most // 8
+
+    def differ(self, n: int) -> int:
+        """In how many shingles a set linked with one of n shingles can differ from it."""
+        return self.apart(n + n * self.den // self.num)
 
     def apart(self, sizes):
         """In how many shingles two linked sets of these sizes together can differ."""
@@ -116,7 +120,7 @@ def set_id(tokens: np.ndarray) -> int:
 
 def routing_keys(tokens: np.ndarray, t: Threshold) -> np.ndarray:
     """Keys of which two linked sets share at least one."""
-    n, out, few_empty = len(tokens), [], False
+    n, out, few_filled = len(tokens), [], False
     spread = mix(tokens)
     for c in t.classes(n):
         r = t.ranges(c)
@@ -126,8 +130,8 @@ def routing_keys(tokens: np.ndarray, t: Threshold) -> np.ndarray:
         begins = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
         sums = np.add.reduceat(spread, begins)
         out.append(mix(sums + mix(of[begins] + U((c + 1) << 40))))
-        few_empty |= len(begins) < r <= FEW_RANGES
-    if few_empty:
+        few_filled |= len(begins) <= t.differ(n)
+    if few_filled:
         out.append(mix(tokens[:t.prefix(n)] + U(0x51ED270B)))
     return np.concatenate(out) if out else np.zeros(0, U)
 
@@ -353,6 +357,11 @@ def _join_group(t: Threshold):
     return run
 
 
+def _blocks() -> Column:
+    """Blocks of a group of sets with n shingles each."""
+    return F.ceil(F.greatest(F.count("*") / BLOCK_SETS, F.sum("n") / BLOCK_SHINGLES)).cast("int")
+
+
 def _groups(members: DataFrame, part, probes, is_probe: bool) -> DataFrame:
     """Rows for the groups (component, part, probes); ``part`` or ``probes`` may be an array, a row for each."""
     return members.select("component", part.alias("part"), probes.alias("probes"), F.lit(is_probe).alias("is_probe"),
@@ -371,13 +380,13 @@ def _links(members: DataFrame, t: Threshold, spark) -> DataFrame:
 
     many = members.where("blocks > 1")
     part_of = connected_components(first, spark).withColumnRenamed("component", "part_of")
-    placed = (many.select("component", "set_id", "block").join(part_of, F.col("set_id") == F.col("node"), "left")
-              .select("component", "set_id", "block", F.coalesce("part_of", "set_id").alias("part_of")))
+    placed = (many.select("component", "set_id", "block", F.size("tokens").alias("n")).join(part_of, F.col("set_id") == F.col("node"), "left")
+              .select("component", "set_id", "block", "n", F.coalesce("part_of", "set_id").alias("part_of")))
     largest = (placed.groupBy("component", "part_of").agg(F.count("*").alias("m"))
                .groupBy("component").agg(F.max_by("part_of", F.struct("m", "part_of")).alias("largest")))
-    outside = placed.join(largest, "component").where("part_of <> largest AND block > 0").select("component", "set_id")
-    cut = outside.groupBy("component").agg(F.ceil(F.count("*") / BLOCK_SETS).cast("int").alias("cuts"))
-    still = stored(outside.join(cut, "component"), spark, "outside")
+    outside = placed.join(largest, "component").where("part_of <> largest AND block > 0").select("component", "set_id", "n")
+    cut = outside.groupBy("component").agg(_blocks().alias("cuts"))
+    still = stored(outside.drop("n").join(cut, "component"), spark, "outside")
     cut = still.select("component", "cuts").distinct()
     later = many.where("block > 0")
     probes = later.join(still.select("set_id", "cuts"), "set_id").withColumn("cut", F.pmod(F.xxhash64("set_id", F.lit(1)), F.col("cuts")).cast("int"))
@@ -418,21 +427,23 @@ def _components(docs: DataFrame, id_col: str, text_col: str, k: int, threshold:
     keys = sets.select("set_id", F.explode("keys").alias("key"))
     shared = (keys.groupBy("key").agg(F.min("set_id").alias("least"), F.max("set_id").alias("top"), F.count("*").alias("m"))
               .where("least < top").select("key", "least", "m"))
-    common = stored(keys.join(shared, "key"), spark, "common-keys")
+    common_at, common = stored_at(keys.join(shared, "key"), spark, "common-keys")
     small = (common.where(F.col("m") <= FULL_KEY).select("key", "set_id").join(nodes.select("set_id", "n", "sketch"), "set_id")
              .repartition("key").sortWithinPartitions("key", "set_id"))
     ties = small.mapInArrow(_ties(t), "a long, b long").unionAll(
         common.where(F.col("m") > FULL_KEY).select(F.col("set_id").alias("a"), F.col("least").alias("b")))
     candidates = stored(connected_components(ties, spark), spark, "candidates")
+    removed(spark, common_at)
 
-    blocks_of = candidates.groupBy("component").agg(F.ceil(F.count("*") / BLOCK_SETS).cast("int").alias("blocks"))
-    chosen = (nodes.join(candidates, nodes.set_id == candidates.node).select("doc_id", "set_id", "component")
-              .join(blocks_of, "component"))
+    placed = nodes.join(candidates, nodes.set_id == candidates.node).select("doc_id", "set_id", "component", "n")
+    blocks_of = placed.groupBy("component").agg(_blocks().alias("blocks"))
+    chosen = placed.drop("n").join(blocks_of, "component")
     members = map_batches(chosen.join(texts, "doc_id").select("component", "set_id", "blocks", "text"), _tokens(k),
                           "component long, set_id long, blocks int, tokens array<long>")
     members = members.withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
-    links = _links(stored(members, spark, "members"), t, spark)
-    groups = connected_components(links, spark)
+    members_at, members = stored_at(members, spark, "members")
+    groups = stored(connected_components(_links(members, t, spark), spark), spark, "groups")
+    removed(spark, members_at)
 
     label = nodes.join(groups, nodes.set_id == groups.node, "left").select("set_id", "doc_id", "component")
     least = label.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("least"))
@@ -453,3 +464,20 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     out = _components(docs, id_col, text_col, k, threshold).where("doc_id <> component_id").select("doc_id", "mark").distinct()
     rows = packed(docs, text_col, doc_id=F.col(id_col).cast("long"), mark=F.xxhash64(F.col(text_col).cast("string")))
     return unpacked(rows.join(out, ["doc_id", "mark"], "left_anti"), docs.columns)
+
+
+def oracle_sql(k: int = 3, threshold: tuple[int, int] = (90, 100)) -> str:
+    """DuckDB SQL for ``op4_ngram_join``'s rows: all pairs that share a shingle, and the links' closure."""
+    shingle = " || ' ' || ".join(f"w[i + {j}]" for j in range(k))
+    words = (r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+             r"'[^\x20\x09-\x0D]+')")
+    return f"""
+WITH RECURSIVE w AS (SELECT doc_id, coalesce({words}, []) AS w FROM documents),
+s AS MATERIALIZED (SELECT doc_id, CASE WHEN len(w) >= {k} THEN list_distinct(list_transform(range(1, len(w) - {k} + 2), lambda i: {shingle}))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM w),
+e AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM s),
+links AS MATERIALIZED (SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.x = b.x AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING {threshold[1]} * count(*) >= {threshold[0]} * (a.n + b.n - count(*))),
+reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+first AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+SELECT doc_id, len(s) AS n_shingles, least(doc_id, coalesce(b, doc_id)) AS component_id FROM s LEFT JOIN first ON a = doc_id"""

@@ -116,6 +116,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op4_ngram_join": ngram_join.oracle_sql(),
+    "op8_warc": warc.oracle_sql(),
     "op11_chat_format": chat_format.oracle_sql(),
     "op12_lexical_search": lexical_index.oracle_sql(),
     "op13_vector_codes": vector_codes.oracle_sql(),

@@ -10,7 +10,7 @@ Hashes are 64 bits; equal text always gives equal hashes in every process.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -160,11 +160,26 @@ def with_field(rows: pa.StructArray, name: str, values: list) -> pa.StructArray:
     return pa.StructArray.from_arrays(arrays, fields=fields)
 
 
-def map_batches(df: DataFrame, fn, schema: str, end=None) -> DataFrame:
+_kept: dict[str, Callable[[], None]] = {}
+
+
+def keep(name: str, forget: Callable[[], None]) -> None:
+    """This process keeps a memory between tasks; ``forget`` empties it."""
+    _kept[name] = forget
+
+
+def _release(but: str | None) -> None:
+    """Empty the memories that other operators' tasks left in this process."""
+    for name in [n for n in _kept if n != but]:
+        _kept.pop(name)()
+
+
+def map_batches(df: DataFrame, fn, schema: str, memory: str | None = None) -> DataFrame:
     """``fn`` over each Arrow batch; it returns a dict of columns (or None for no rows).
 
-    Outputs are cut to the schema's order and types.  ``end`` is called when a
-    task's batches are through, also after an error.
+    Outputs are cut to the schema's order and types.  Workers serve tasks of many
+    operators: a task first empties the memories of others, but for ``memory``,
+    the name under which ``fn`` keeps its own (see ``keep``).
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
@@ -172,16 +187,13 @@ def map_batches(df: DataFrame, fn, schema: str, end=None) -> DataFrame:
     target = to_arrow_schema(StructType.fromDDL(schema) if isinstance(schema, str) else schema)
 
     def run(batches):
-        try:
-            for batch in batches:
-                step = max(1, batch.num_rows * SLICE_BYTES // max(1, batch.nbytes))
-                for cols in (c for at in range(0, batch.num_rows, step) for c in fn(batch.slice(at, step))):
-                    yield pa.RecordBatch.from_arrays(
-                        [c if isinstance(c, pa.Array) and c.type == f.type else pa.array(c, type=f.type)
-                         for f, c in ((f, cols[f.name]) for f in target)], schema=target)
-        finally:
-            if end is not None:
-                end()
+        _release(memory)
+        for batch in batches:
+            step = max(1, batch.num_rows * SLICE_BYTES // max(1, batch.nbytes))
+            for cols in (c for at in range(0, batch.num_rows, step) for c in fn(batch.slice(at, step))):
+                yield pa.RecordBatch.from_arrays(
+                    [c if isinstance(c, pa.Array) and c.type == f.type else pa.array(c, type=f.type)
+                     for f, c in ((f, cols[f.name]) for f in target)], schema=target)
 
     return df.mapInArrow(run, schema)
 

@@ -494,14 +494,14 @@ def test_bpe_memories_are_bounded_and_emptied():
     assert np.frombuffer(encoder.encode(text), "<u4").tolist() == want
     assert 0 < encoder._bytes <= bpe.WORDS_BYTES
     encoder.forget()
-    assert not encoder and not encoder._older and not encoder.vocabulary.last and not encoder.vocabulary._apart
+    assert not encoder and not encoder._older and not encoder.vocabulary.heads and not encoder.vocabulary._apart
     assert np.frombuffer(encoder.encode(text), "<u4").tolist() == want
 
 
 def test_bpe_memories_renew_themselves(monkeypatch):
     data, pattern = tokenizer()
     monkeypatch.setattr(bpe, "WORDS_BYTES", 4000)
-    monkeypatch.setattr(bpe, "PREFIX_BYTES", 4000)
+    monkeypatch.setattr(bpe, "HEADS_BYTES", 4000)
     monkeypatch.setattr(bpe, "APART_BYTES", 4000)
     encoder = bpe.Encoder(bpe.read_ranks(data), pattern)
     rng = random.Random(3)
@@ -509,3 +509,48 @@ def test_bpe_memories_renew_themselves(monkeypatch):
     want = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=bpe.read_ranks(data), special_tokens={}).encode_ordinary(text)
     assert np.frombuffer(encoder.encode(text), "<u4").tolist() == want
     assert encoder._bytes <= 4000 and len(encoder.vocabulary._apart) <= 4000 // 100
+
+
+def test_routing_keys_meet_for_every_linked_pair():
+    """Also with many ranges, empty ones, and sets whose shingles crowd into a few of them."""
+    rng = np.random.default_rng(9)
+    for num, den in ((90, 100), (80, 100), (50, 100)):
+        t = ngram_join.Threshold(num, den)
+        for trial in range(300):
+            n = int(rng.choice([1, 2, 5, 12, 40, 150, 700]))
+            width = int(rng.choice([64, 64, 40, 52]))  # narrow ones fill few ranges
+            base = np.unique(rng.integers(0, 1 << 63, n * 2, dtype=np.uint64) >> np.uint64(64 - width))[:n]
+            a = base.copy()
+            change = int(rng.integers(0, max(1, t.apart(2 * len(a))) + 1))
+            b = a.copy()
+            b = np.delete(b, rng.choice(len(b), min(change // 2, len(b) - 1), replace=False)) if change > 1 else b
+            b = np.unique(np.concatenate([b, rng.integers(0, 1 << 63, change - change // 2, dtype=np.uint64) >> np.uint64(64 - width)]))
+            overlap = len(np.intersect1d(a, b))
+            if t.links(overlap, len(a) + len(b)) and not np.array_equal(a, b):
+                assert len(np.intersect1d(ngram_join.routing_keys(a, t), ngram_join.routing_keys(b, t))), (num, n, width, trial)
+
+
+def test_ngram_join_blocks_by_shingles_give_the_same(spark, monkeypatch):
+    rows = _edge_rows(8)
+    one = sorted(map(tuple, ngram_join.ngram_components(_docs(spark, rows)).collect()), key=str)
+    monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", 50)
+    assert sorted(map(tuple, ngram_join.ngram_components(_docs(spark, rows)).collect()), key=str) == one
+
+
+def test_memories_last_until_another_operator_runs(spark):
+    from lakemart.llm import textblocks
+
+    rows = spark.range(4).selectExpr("id AS doc_id", "repeat('some words here ', 50) AS text").coalesce(1)
+
+    def kept(batch):
+        yield {"n": [len(textblocks._kept)] * batch.num_rows}
+
+    assert bpe.encode_documents(rows, *tokenizer()).count() == 4
+    names = []
+    textblocks.keep("a", lambda: names.append("a"))
+    textblocks.keep("b", lambda: names.append("b"))
+    textblocks._release("b")
+    assert names == ["a"] and list(textblocks._kept) == ["b"]
+    textblocks._release(None)
+    assert names == ["a", "b"] and not textblocks._kept
+    assert [r.n for r in textblocks.map_batches(rows, kept, "n long").collect()] == [0] * 4
