@@ -33,6 +33,8 @@ from lakemart.llm.textblocks import ALNUM_WORD, U, Block, blocks, map_batches, p
 RADIUS = 18
 _CUTS = [64 * i // (RADIUS + 1) for i in range(RADIUS + 2)]
 _BITS = U(1) << np.arange(64, dtype=U)
+#: Words over which windows are fingerprinted at once, and running sums held for it.
+WINDOWS, SUMS = 1 << 14, 1 << 21
 
 
 def _words(block: Block):
@@ -41,14 +43,43 @@ def _words(block: Block):
     return block.span_hash(start, end), letters, first
 
 
-def _signs(sh: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """Running sums of +weight or -weight for each of the 64 bits."""
-    signed = np.where((sh[:, None] & _BITS) != 0, weight[:, None], -weight[:, None])
-    return np.concatenate([np.zeros((1, 64), np.int64), np.cumsum(signed, axis=0)])
+def _fingerprints(sh: np.ndarray, weight: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """SimHash of the shingles lo..hi (hi exclusive) of each window: running sums of +weight or -weight for each bit.
+
+    As many bits at a time as SUMS numbers hold, so long runs take no more memory than their shingles.
+    """
+    out = np.zeros(len(lo), U)
+    step = max(1, min(64, SUMS // max(1, len(sh))))
+    for at in range(0, 64, step):
+        bits = _BITS[at:at + step]
+        signed = np.where((sh[:, None] & bits) != 0, weight[:, None], -weight[:, None])
+        sums = np.concatenate([np.zeros((1, len(bits)), np.int64), np.cumsum(signed, axis=0)])
+        out |= np.where(sums[hi] - sums[lo] > 0, bits, U(0)).sum(axis=1, dtype=U)
+    return out
 
 
-def _fingerprints(sums: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-    return (np.where(sums[hi] - sums[lo] > 0, _BITS, U(0))).sum(axis=1, dtype=U)
+def window_starts(hits: list[int], lo: int, hi: int, span: int, length: int) -> Iterator[np.ndarray]:
+    """Starts of the windows of ``length`` words within lo..hi that hold a hit in their first ``span`` places.
+
+    Each start once, ascending, in parts that reach over at most WINDOWS words
+    and are made one at a time.
+    """
+    p = np.unique(np.array(hits, np.int64))
+    first, last = np.maximum(lo, p - span + 1), np.minimum(p, hi - length)
+    first, last = first[first <= last], last[first <= last]
+    if not len(first):
+        return
+    run = np.flatnonzero(np.concatenate([[True], first[1:] > last[:-1] + 1]))
+    held: list[np.ndarray] = []
+    for a, b in zip(first[run].tolist(), last[np.append(run[1:], len(last)) - 1].tolist(), strict=True):
+        while a <= b:
+            if held and a >= held[0][0] + WINDOWS:
+                yield np.concatenate(held)
+                held = []
+            upto = min(b, (int(held[0][0]) if held else a) + WINDOWS - 1)
+            held.append(np.arange(a, upto + 1))
+            a = upto + 1
+    yield np.concatenate(held)
 
 
 class Sized:
@@ -65,7 +96,7 @@ class Sized:
         self.ids.append(item_id)
         self.counts.append(counts)
         self.totals.append(int(weight.sum()))
-        self.prints.append(_fingerprints(_signs(sh, weight), np.array([0]), np.array([len(sh)]))[0])
+        self.prints.append(_fingerprints(sh, weight, np.array([0]), np.array([len(sh)]))[0])
 
     def close(self) -> Sized:
         self.prints = np.array(self.prints, U)
@@ -143,28 +174,30 @@ def scan(block: Block, items: Items, similarity: float) -> Iterator[tuple[int, i
             lo, hi = int(first[row]), int(first[row + 1])
             length = min(size, hi - lo)
             span = length - part + 1
-            starts = np.unique(np.concatenate([np.arange(max(lo, p - span + 1), min(p, hi - length) + 1) for p in hits]))
-            a, b = int(starts[0]), int(starts[-1]) + span
-            local, weight = sh[a:b], letters[a + part:b + part] - letters[a:b]
-            prints = _fingerprints(_signs(local, weight), starts - a, starts - a + span)
-            window, item = group.near(prints)
-            total = np.concatenate([[0], np.cumsum(weight)])
-            for i in np.unique(item).tolist():
-                counts, own = group.counts[i], group.totals[i]
-                inside = np.concatenate([[0], np.cumsum(np.where(np.isin(local, np.fromiter(counts, U, len(counts))), weight, 0))])
-                at_ = starts[window[item == i]] - a
-                most = inside[at_ + span] - inside[at_]
-                bound = most / np.maximum(own + total[at_ + span] - total[at_] - most, 1)
-                best, where = 0.0, -1
-                for j in np.argsort(-bound, kind="stable").tolist():
-                    if bound[j] < similarity or bound[j] < best:
-                        break
-                    s = int(at_[j])
-                    value = _weighted(counts, own, local[s:s + span].tolist(), weight[s:s + span])
-                    if value >= similarity and (value > best or value == best and s < where):
-                        best, where = value, s
-                if where >= 0:
-                    yield row + block.first_row, group.ids[i], best, a + where - lo, a + where - lo + length - 1
+            best: dict[int, tuple[float, int]] = {}
+            for starts in window_starts(hits, lo, hi, span, length):
+                a, b = int(starts[0]), int(starts[-1]) + span
+                local, weight = sh[a:b], letters[a + part:b + part] - letters[a:b]
+                window, item = group.near(_fingerprints(local, weight, starts - a, starts - a + span))
+                total = np.concatenate([[0], np.cumsum(weight)])
+                for i in np.unique(item).tolist():
+                    counts, own = group.counts[i], group.totals[i]
+                    inside = np.concatenate([[0], np.cumsum(np.where(np.isin(local, np.fromiter(counts, U, len(counts))), weight, 0))])
+                    at_ = starts[window[item == i]] - a
+                    most = inside[at_ + span] - inside[at_]
+                    bound = most / np.maximum(own + total[at_ + span] - total[at_] - most, 1)
+                    top, where = best.get(i, (0.0, -1))
+                    for j in np.argsort(-bound, kind="stable").tolist():
+                        if bound[j] < similarity or bound[j] < top:
+                            break
+                        s = int(at_[j])
+                        value = _weighted(counts, own, local[s:s + span].tolist(), weight[s:s + span])
+                        if value >= similarity and (value > top or value == top and a + s < where):
+                            top, where = value, a + s
+                    if where >= 0:
+                        best[i] = top, where
+            for i, (value, where) in sorted(best.items()):
+                yield row + block.first_row, group.ids[i], value, where - lo, where - lo + length - 1
 
 
 def _item_blocks(benchmark: DataFrame, item_id: str, text_col: str, size: int) -> Iterator[list[tuple[int, str]]]:
