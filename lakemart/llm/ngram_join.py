@@ -11,9 +11,9 @@ ranges; the number of ranges depends on a size class, and a set just below a
 class border also emits the upper class's keys.  A range that is empty in
 both gives no key.  If all equal ranges of a linked pair are empty, each shingle
 of either set lies in a range where they differ, so neither set fills more
-ranges than it can differ in shingles.  Sets that fill so few also emit their
-prefix (the first n - ceil(t*n) + 1 shingles), one of which every linked pair
-shares.  An eighth more ranges than needed makes that rare.  Sets that share keys, directly or through others,
+ranges than it can differ in shingles.  The few sets that fill so few also emit
+their prefix (the first n - ceil(t*n) + 1 shingles), one of which every linked
+pair shares.  Sets that share keys, directly or through others,
 form a candidate component; each set is in one, so its shingles are shuffled
 once, not once for each key.
 
@@ -74,13 +74,12 @@ class Threshold:
         return [c, c + 1] if n * self.den >= self.num * self.class_floor(c + 1) else [c]
 
     def ranges(self, c: int) -> int:
-        """More than two linked sets of class c can differ in, by one and an eighth; 1 if they can't differ."""
-        most = (self.den - self.num) * 2 * (self.class_floor(c + 1) - 1) // (self.den + self.num)
-        return most + 1 + most // 8
+        """One more than two linked sets of class c can differ in."""
+        return self.apart(2 * (self.class_floor(c + 1) - 1)) + 1
 
-    def differ(self, n: int) -> int:
-        """In how many shingles a set linked with one of n shingles can differ from it."""
-        return self.apart(n + n * self.den // self.num)
+    def differ(self, n: int, c: int) -> int:
+        """In how many shingles a set of class c that is linked with one of n shingles can differ from it."""
+        return self.apart(n + min(n * self.den // self.num, self.class_floor(c + 1) - 1))
 
     def apart(self, sizes):
         """In how many shingles two linked sets of these sizes together can differ."""
@@ -130,7 +129,7 @@ def routing_keys(tokens: np.ndarray, t: Threshold) -> np.ndarray:
         begins = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
         sums = np.add.reduceat(spread, begins)
         out.append(mix(sums + mix(of[begins] + U((c + 1) << 40))))
-        few_filled |= len(begins) <= t.differ(n)
+        few_filled |= len(begins) <= t.differ(n, c)
     if few_filled:
         out.append(mix(tokens[:t.prefix(n)] + U(0x51ED270B)))
     return np.concatenate(out) if out else np.zeros(0, U)
@@ -425,13 +424,15 @@ def _components(docs: DataFrame, id_col: str, text_col: str, k: int, threshold:
                    spark, "nodes")
 
     keys = sets.select("set_id", F.explode("keys").alias("key"))
-    shared = (keys.groupBy("key").agg(F.min("set_id").alias("least"), F.max("set_id").alias("top"), F.count("*").alias("m"))
-              .where("least < top").select("key", "least", "m"))
+    shared = (keys.groupBy("key").agg(F.min("set_id").alias("least"), F.max("set_id").alias("top"))
+              .where("least < top").select("key", "least"))
     common_at, common = stored_at(keys.join(shared, "key"), spark, "common-keys")
-    small = (common.where(F.col("m") <= FULL_KEY).select("key", "set_id").join(nodes.select("set_id", "n", "sketch"), "set_id")
+    # counted here, among the few keys that two sets share, and not in the large shuffle above
+    full = stored(common.groupBy("key").agg(F.count("*").alias("m")).where(F.col("m") > FULL_KEY).select("key"), spark, "full-keys")
+    small = (common.join(full, "key", "left_anti").select("key", "set_id").join(nodes.select("set_id", "n", "sketch"), "set_id")
              .repartition("key").sortWithinPartitions("key", "set_id"))
     ties = small.mapInArrow(_ties(t), "a long, b long").unionAll(
-        common.where(F.col("m") > FULL_KEY).select(F.col("set_id").alias("a"), F.col("least").alias("b")))
+        common.join(full, "key", "left_semi").select(F.col("set_id").alias("a"), F.col("least").alias("b")))
     candidates = stored(connected_components(ties, spark), spark, "candidates")
     removed(spark, common_at)
 
