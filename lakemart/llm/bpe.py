@@ -28,7 +28,7 @@ from lakemart.llm.textblocks import keep, map_batches
 
 #: Bytes of each memory of a process, by the sizes that CPython gives its objects, before it is emptied.  Tasks of this
 #: operator hand them on; another operator's task empties them all.
-WORDS_BYTES, HEADS_BYTES, APART_BYTES = 112 << 20, 8 << 20, 32 << 20
+WORDS_BYTES, HEADS_BYTES, APART_BYTES = 112 << 20, 16 << 20, 48 << 20
 #: A dict's slot and entry, and a small int.
 _SLOT, _INT = 104, 32
 #: Pieces share the last tokens of prefixes of so many bytes.
