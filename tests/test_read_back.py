@@ -35,3 +35,13 @@ def test_folders_are_listed_by_few_tasks(spark):
     assert tasks and max(tasks) <= default_writers(spark)
     assert spark.conf.get(LISTING) == before
     assert sorted(map(tuple, back.collect()), key=lambda r: r[-1]) == _rows(n)
+
+
+def test_maps_read_the_folders_once(spark):
+    n = 3
+    long = C._maps_long(read_back(spark, _stored(spark, n), IMMIGRATION_SCHEMA, C.KEYS))
+    assert not [f for f in long.inputFiles() if "airport_cd=" in f]  # they were read, and are not read again
+    names = {"gender": 2, "trip_purpose": 5, "visa_type": 6, "countries": 7, "airlines": 8}
+    expected = [(r[0], r[1], m, str(k), v) for r in _rows(n) for m, at in names.items() for k, v in r[at].items()]
+    expected.append((None, None, "ids", None, 2 * n))
+    assert sorted(map(tuple, long.collect()), key=repr) == sorted(expected, key=repr)
