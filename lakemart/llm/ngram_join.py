@@ -15,7 +15,9 @@ ranges than it can differ in shingles.  The few sets that fill so few also emit
 their prefix (the first n - ceil(t*n) + 1 shingles), one of which every linked
 pair shares.  Sets that share keys, directly or through others,
 form a candidate component; each set is in one, so its shingles are shuffled
-once, not once for each key.
+once, not once for each key.  The keys are shuffled once: sorted, those of a
+single set are left out where they arrive.  Keys with the same sets would be
+compared alike, so the sketches are sent to one of them only.
 
 Join.  Within a component the sets are stored in a prefix tree over the global
 order.  A probe walks it level by level: the overlap up to a node is counted
@@ -48,6 +50,8 @@ from lakemart.llm.textblocks import SPACE_WORD, U, blocks, list_column, map_batc
 BLOCK_SETS, BLOCK_SHINGLES = 512, 1 << 20
 #: Sets of one key up to which sketches are compared, and the least bits of a sketch.
 FULL_KEY, SKETCH_BITS = 4096, 1024
+#: Upper bits of a key that are stored: few keys among 10^11 are equal by chance, which costs a comparison, never a link.
+KEY_BITS = 48
 
 
 class Threshold:
@@ -271,11 +275,40 @@ def _describe(k: int, t: Threshold):
             keys.append(own)
             counts.append(len(own))
         yield {"doc_id": batch.column("doc_id"), "mark": batch.column("mark"), "n_shingles": sizes, "set_id": sids, "sketch": sketches,
-               "keys": list_column(np.concatenate(keys), np.array(counts))}
+               "keys": list_column(np.concatenate(keys) >> U(64 - KEY_BITS), np.array(counts))}
 
     return rows
 
 
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows, each once, of keys that two sets or more have, with the key's least set; over rows sorted by key and set.
+
+    One row is held from batch to batch, however many rows a key has.
+    """
+    key = sid = least = np.zeros(0, np.int64)
+    before = np.zeros(0, bool)  # whether the held row follows another of its key
+    names = ["key", "set_id", "least"]
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = np.concatenate([key, batch.column("key").to_numpy()])
+        sid = np.concatenate([sid, batch.column("set_id").to_numpy()])
+        once = np.concatenate([[True], (key[1:] != key[:-1]) | (sid[1:] != sid[:-1])])
+        key, sid = key[once], sid[once]
+        follows = np.concatenate([[False], key[1:] == key[:-1]])
+        begin = np.maximum.accumulate(np.where(follows, 0, np.arange(len(key))))
+        first = sid.copy()
+        if len(before):
+            follows[0], first[0] = before[0], least[0]
+        least, meets = first[begin], follows.copy()
+        meets[:-1] |= key[1:] == key[:-1]
+        out = np.flatnonzero(meets[:-1])
+        yield pa.RecordBatch.from_arrays([pa.array(x[out]) for x in (key, sid, least)], names)
+        key, sid, least, before = key[-1:], sid[-1:], least[-1:], follows[-1:]
+    if len(before) and before[0]:
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key, sid, least)], names)
+
+
 def _ties(t: Threshold):
     """Ties of each key's sets, over rows sorted by key; a key's rows may go over several batches."""
     def emit(table):
@@ -416,20 +449,23 @@ def _components(docs: DataFrame, id_col: str, text_col: str, k: int, threshold:
     """The rows of ngram_components with ``mark``, the hash of the row's text."""
     spark, t = docs.sparkSession, Threshold(*threshold)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    sets = stored(map_batches(texts.withColumn("mark", F.xxhash64("text")), _describe(k, t),
-                              "doc_id long, mark long, n_shingles long, set_id long, sketch binary, keys array<long>"),
-                  spark, "sets")
-    nodes = stored(sets.where("set_id IS NOT NULL").groupBy("set_id")
+    described_at, described = stored_at(
+        map_batches(texts.withColumn("mark", F.xxhash64("text")), _describe(k, t),
+                    "doc_id long, mark long, n_shingles long, set_id long, sketch binary, keys array<long>"), spark, "described")
+    sets = stored(described.select("doc_id", "mark", "n_shingles", "set_id"), spark, "sets")
+    nodes = stored(described.where("set_id IS NOT NULL").groupBy("set_id")
                    .agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n"), F.first("sketch").alias("sketch")),
                    spark, "nodes")
 
-    keys = sets.select("set_id", F.explode("keys").alias("key"))
-    shared = (keys.groupBy("key").agg(F.min("set_id").alias("least"), F.max("set_id").alias("top"))
-              .where("least < top").select("key", "least"))
-    common_at, common = stored_at(keys.join(shared, "key"), spark, "common-keys")
+    keys = described.select("set_id", F.explode("keys").alias("key"))
+    common_at, common = stored_at(keys.repartition("key").sortWithinPartitions("key", "set_id")
+                                  .mapInArrow(_shared, "key long, set_id long, least long"), spark, "common-keys")
+    removed(spark, described_at)
     # counted here, among the few keys that two sets share, and not in the large shuffle above
-    full = stored(common.groupBy("key").agg(F.count("*").alias("m")).where(F.col("m") > FULL_KEY).select("key"), spark, "full-keys")
-    small = (common.join(full, "key", "left_anti").select("key", "set_id").join(nodes.select("set_id", "n", "sketch"), "set_id")
+    met = stored(common.groupBy("key").agg(F.count("*").alias("m"), F.expr("bit_xor(xxhash64(set_id))").alias("same")), spark, "met-keys")
+    full = met.where(F.col("m") > FULL_KEY).select("key")
+    one = met.where(F.col("m") <= FULL_KEY).groupBy("same", "m").agg(F.min("key").alias("key")).select("key")
+    small = (common.join(one, "key").select("key", "set_id").join(nodes.select("set_id", "n", "sketch"), "set_id")
              .repartition("key").sortWithinPartitions("key", "set_id"))
     ties = small.mapInArrow(_ties(t), "a long, b long").unionAll(
         common.join(full, "key", "left_semi").select(F.col("set_id").alias("a"), F.col("least").alias("b")))
